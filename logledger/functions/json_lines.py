@@ -14,7 +14,9 @@ from logledger.functions.values import starts_object
 from logledger.schemas import RAW_KEYS
 
 _END = "__end"
-_SHAPE = "array<struct<%s>>" % ", ".join(f"`{k}` string" for k in (*RAW_KEYS, _END))
+_KEYS = (*RAW_KEYS, _END)
+_SHAPE = "array<struct<%s>>" % ", ".join(f"`{k}` string" for k in _KEYS)
+_MAYBE_NESTED = r":\s*[\[{]"
 
 
 def _as_array(data: Column) -> Column:
@@ -22,14 +24,33 @@ def _as_array(data: Column) -> Column:
     return F.from_json(closed, _SHAPE, {"allowSingleQuotes": "false"})
 
 
+def _if_whole(array: Column) -> Column:
+    return F.when((F.size(array) == 2) & (array[1][_END] == "1"), array[0])
+
+
+def _scalar(record: Column, key: str, data: Column) -> Column:
+    """A field unless it is an object or array. The text of one and that of a string holding
+    the same characters look alike, so a value that opens with a bracket is looked up again
+    with its JSON type."""
+    value = record[key]
+    found = F.try_variant_get(F.try_parse_json(data), f"$.{key}", "variant")
+    nested = F.coalesce(F.schema_of_variant(found).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    opens = value.startswith("{") | value.startswith("[")
+    return F.when(opens, F.when(~nested, value)).otherwise(value).alias(key)
+
+
+def _scalars(record: Column, data: Column) -> Column:
+    """The record with NULL for objects and arrays; only lines that may hold some pay."""
+    rebuilt = F.struct(*[_scalar(record, k, data) for k in _KEYS])
+    maybe = record.isNotNull() & data.rlike(_MAYBE_NESTED)
+    return F.when(maybe, rebuilt).otherwise(record)
+
+
 def record_or_null(data: Column) -> Column:
-    """The record of a valid object line, else NULL. The lambda binds the parsed array, so
-    the text is parsed once although the test refers to it three times."""
-    checked = F.transform(
-        F.array(_as_array(data)),
-        lambda a: F.when((F.size(a) == 2) & (a[1][_END] == "1"), a[0]),
-    )
-    return F.when(starts_object(data), checked[0])
+    """The record of a valid object line, else NULL. The lambdas bind the parsed value, so
+    the text is parsed once although the tests refer to it several times."""
+    whole = F.transform(F.array(_as_array(data)), _if_whole)
+    return F.transform(whole, lambda r: _scalars(r, data))[0]
 
 
 def each_record(data: Column) -> Column:
@@ -44,20 +65,6 @@ def each_record_lenient(data: Column) -> Column:
     return F.explode(F.filter(F.array(record), lambda r: starts_object(data)))
 
 
-def scalar(record: Column, key: str, data: Column) -> Column:
-    """A field as text; objects and arrays count as NULL. Their text and that of a string
-    holding the same characters look alike, so values that open with a bracket (rare) are
-    checked for their JSON type; no other line pays for a second parse."""
-    value = record[key]
-    shape = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json(data), f"$.{key}", "variant")
-    )
-    is_nested = F.coalesce(shape.rlike("^(OBJECT|ARRAY)"), F.lit(False))
-    checked = F.when(is_nested, F.lit(None).cast("string")).otherwise(value)
-    opens = value.startswith("{") | value.startswith("[")
-    return F.when(opens, checked).otherwise(value)
-
-
 def is_json(data: Column) -> Column:
     """Whether a text is one complete JSON value of any kind."""
     closed = F.concat(F.lit("["), data, F.lit("]"))

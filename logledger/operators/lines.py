@@ -29,8 +29,7 @@ def read_records(lines: DataFrame, lenient: bool = False) -> DataFrame:
     """Adds the 14 raw fields as text columns; lines that are no record are dropped."""
     generate = jl.each_record_lenient if lenient else jl.each_record
     found = lines.withColumn("_record", generate(F.col("data")))
-    fields = {k: jl.scalar(F.col("_record"), k, F.col("data")) for k in RAW_KEYS}
-    return found.select(*lines.columns, *[c.alias(k) for k, c in fields.items()])
+    return found.select(*lines.columns, *[F.col("_record")[k].alias(k) for k in RAW_KEYS])
 
 
 def parse_lines(

@@ -50,7 +50,7 @@ def load_files(
         base = warehouse.stage(
             "base", parse_lines(archived_as_lines(archived), run_ts, options), batch
         )
-        parsed = warehouse.read_folders("base", base.added).count()
+        parsed = base
         if options.within_batch:
             rows = dedup.first_in_batch(warehouse.read_folders("base", base.added))
             base = warehouse.stage("base", rows, f"{batch}-once")
@@ -67,7 +67,9 @@ def load_files(
             new = lg.uncounted_rows(files, loaded, run_ts)
         ledger = warehouse.stage("ledger", new, batch)
         warehouse.commit(archive, base, ledger, based_on=based_on)
-        return parsed - rows.count()
+        if base is parsed:
+            return 0
+        return warehouse.read_folders("base", parsed.added).count() - rows.count()
     except VersionConflict:
         raise
     except Exception as error:
@@ -169,22 +171,15 @@ def ingest_batch(
         found = landing.new_files(spark, warehouse.read("ledger"))
         found.write.mode("overwrite").parquet(folder)
         pending = spark.read.schema(found.schema).parquet(folder)
-        count = pending.count()
-        if log:
-            log(f"{count} new files at {now}")
         try:
-            for number, (wave_files, wave_lines) in enumerate(landing.waves(pending)):
+            for number, wave in enumerate(landing.waves(pending)):
+                if log:
+                    log(f"loading {wave.count} files at {now}")
+                batch = f"{run}-{attempt}-{number}"
                 duplicates += load_files(
-                    warehouse,
-                    wave_files,
-                    wave_lines,
-                    now,
-                    f"{run}-{attempt}-{number}",
-                    options,
-                    run,
-                    started,
+                    warehouse, wave.files, wave.lines, now, batch, options, run, started
                 )
-                files += wave_files.count()
+                files += wave.count
             break
         except VersionConflict:
             # Another writer came first. What it loaded is in the ledger now.

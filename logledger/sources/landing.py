@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 from logledger.operators.ledger import not_in_ledger
 
 
+@dataclass(frozen=True)
+class Wave:
+    """One load: the number of files, the files (gcs_uri), and their lines."""
+
+    count: int
+    files: DataFrame
+    lines: DataFrame
+
+
 @dataclass(frozen=True)
 class Landing:
     """
@@ -79,14 +88,14 @@ class Landing:
         """Raw files without a ledger row."""
         return not_in_ledger(self.files(spark), ledger)
 
-    def waves(self, pending: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-        """Splits pending files (a stored table) into loads of bounded size. Yields for each
-        its files and its lines. Spark's readers take paths as a list, so the paths of one
-        wave, at most about files_per_wave of them, pass through the driver; rows never do."""
+    def waves(self, pending: DataFrame) -> Iterator[Wave]:
+        """Splits pending files (a stored table) into loads of bounded size. Spark's readers
+        take paths as a list, so the paths of one wave, about files_per_wave of them at most,
+        pass through the driver; rows never do."""
         spark = pending.sparkSession
-        total = pending.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        files, size = pending.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         count = max(
-            math.ceil(total[0] / self.files_per_wave), math.ceil(total[1] / self.bytes_per_wave)
+            math.ceil(files / self.files_per_wave), math.ceil(size / self.bytes_per_wave)
         )
         for number in range(count):
             wave = pending
@@ -94,7 +103,7 @@ class Landing:
                 wave = pending.filter(F.pmod(F.xxhash64("gcs_uri"), F.lit(count)) == number)
             paths = [r[0] for r in wave.select(_literal_path(F.col("path"))).collect()]
             if paths:
-                yield wave.select("gcs_uri"), _with_uri(spark.read.text(paths))
+                yield Wave(len(paths), wave.select("gcs_uri"), _with_uri(spark.read.text(paths)))
 
 
 def _literal_path(path):

@@ -44,6 +44,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = FileSystem(spark, self.root)
+        self._states: dict[int, str] = {}
 
     # -- versions ---------------------------------------------------------------------
 
@@ -59,7 +60,10 @@ class Warehouse:
         version = self.version() if version is None else version
         if version < 0:
             raise RuntimeError(f"no tables at {self.root}: call create() first")
-        return json.loads(self.files.read(self._version_file(version)))
+        if version not in self._states:
+            # Version files never change; one is kept to spare reading it again.
+            self._states = {version: self.files.read(self._version_file(version))}
+        return json.loads(self._states[version])
 
     def _write_state(self, state: dict, version: int) -> int:
         if not self.files.create(self._version_file(version), json.dumps(state)):

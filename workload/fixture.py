@@ -13,16 +13,21 @@ from string import Template
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logledger.functions import values as v
 from logledger.operators import ledger as lg
 from logledger.operators.lines import archive_lines, parse_lines
-from logledger.schemas import LEDGER
 from logledger.session import configure
 from logledger.sources.files import shared_folder
 from logledger.sources.warehouse import Warehouse
 
 ROOT = "mem://bucket/logs/"
 
+FILES = """
+SELECT file_no, concat('$root', 'LOG-SERVER-0', CAST(file_no % 4 + 1 AS $string), '-', $stamp,
+    '0000-', CAST(file_no AS $string), '.json') AS gcs_uri,
+  date_trunc('second', ts) AS file_ts
+FROM (SELECT $file_no AS file_no, min(ts) AS ts FROM $events GROUP BY 1)
+"""
+
 LINES = """
 WITH slots AS (
   SELECT event_id AS slot, $file_no AS file_no, ts, user_id, event_type, value
@@ -67,20 +72,13 @@ WITH slots AS (
   FROM written c JOIN written o
     ON o.slot = CASE c.kind WHEN 'previous' THEN c.slot - 1 ELSE c.slot - 100 END
   WHERE c.kind IN ('previous', 'earlier')
-), starts AS (
-  SELECT $file_no AS file_no, min(ts) AS ts FROM $events GROUP BY 1
-), files AS (
-  SELECT file_no, concat('$root', 'LOG-SERVER-0', CAST(file_no % 4 + 1 AS $string), '-', $stamp,
-    '0000-', CAST(file_no AS $string), '.json') AS gcs_uri,
-    date_trunc('second', ts) AS file_ts
-  FROM starts
 )
 SELECT p.file_no, p.slot, f.file_ts, f.gcs_uri, p.data
-FROM placed p JOIN files f ON p.file_no = f.file_no
+FROM placed p JOIN ($files) f ON p.file_no = f.file_no
 """
 
 SPARK = {
-    "events": "{events}",
+    "events": "workload_events",
     "file_no": "event_id DIV 50",
     "string": "STRING",
     "millis": "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\")",
@@ -101,8 +99,12 @@ DUCKDB = {
 }
 
 
+def files_sql(dialect: dict[str, str]) -> str:
+    return Template(FILES).substitute(dialect)
+
+
 def lines_sql(dialect: dict[str, str]) -> str:
-    return Template(LINES).substitute(dialect)
+    return Template(LINES).substitute(dialect, files=files_sql(dialect))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,13 +114,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_no, slot, file_ts, gcs_uri, data) of every line of every file."""
-    # Braces of the JSON text would be taken for parameters: the view name stands in.
-    source = events(spark, sf_dir)
-    source.createOrReplaceTempView("workload_events")
-    lines = spark.sql(lines_sql(SPARK | {"events": "workload_events"}))
+    events(spark, sf_dir).createOrReplaceTempView("workload_events")
+    lines = spark.sql(lines_sql(SPARK))
     return lines.withColumn("file_ts", F.col("file_ts").cast("timestamp"))
 
 
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_no, file_ts, gcs_uri) of every file."""
+    events(spark, sf_dir).createOrReplaceTempView("workload_events")
+    files = spark.sql(files_sql(SPARK))
+    return files.withColumn("file_ts", F.col("file_ts").cast("timestamp"))
+
+
 def now_of(spark: SparkSession, sf_dir: str) -> datetime:
     """The moment all reports refer to: the second of the last event."""
     return events(spark, sf_dir).agg(F.date_trunc("second", F.max("ts"))).first()[0]
@@ -147,7 +154,7 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse = Warehouse(spark, shared_folder(spark, "workload")).create()
     archive = warehouse.stage("archive", archive_lines(lines, run_ts), "first")
     base = warehouse.stage("base", parse_lines(lines, run_ts), "first")
-    files = lines.select("gcs_uri", "run_ts", "file_no").distinct()
+    files = _stamped(raw_files(spark, sf_dir))
     expected = lg.rows_per_file(warehouse.read_folders("archive", archive.added), "rows_expected")
     loaded = lg.rows_per_file(warehouse.read_folders("base", base.added), "rows_loaded")
     rows = lg.ledger_rows(files, expected, loaded, run_ts)
@@ -185,15 +192,7 @@ def public_uri(column: str = "gcs_uri") -> F.Column:
     return F.regexp_replace(column, "^.*/logs/", ROOT)
 
 
-def as_stored(rows: DataFrame) -> DataFrame:
-    return rows.select(*LEDGER.names)
-
-
-def without_zone(rows: DataFrame) -> DataFrame:
-    """Instants as UTC wall-clock times, the same type in every engine."""
-    return rows.select(
-        *[
-            v.instant(F.col(n)).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n)
-            for n, t in rows.dtypes
-        ]
-    )
+def portable(rows: DataFrame) -> DataFrame:
+    """Types every engine hands out alike: instants as UTC wall-clock times, dates as text."""
+    types = {"timestamp": "timestamp_ntz", "date": "string"}
+    return rows.select(*[F.col(n).cast(types.get(t, t)).alias(n) for n, t in rows.dtypes])

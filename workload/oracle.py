@@ -130,8 +130,10 @@ def _files_after(forgotten: str) -> dict[str, str]:
     }
 
 
-STATE = """SELECT gcs_uri, rows_expected AS archive_rows, rows_loaded AS base_rows,
-  processed_timestamp, rows_loaded, status FROM {ledger} WHERE rows_expected > 0"""
+# The archive is never emptied: a file loaded again is there twice.
+STATE = """SELECT gcs_uri, rows_expected * CASE WHEN a.gcs_uri IS NULL THEN 1 ELSE 2 END
+    AS archive_rows, rows_loaded AS base_rows, processed_timestamp, rows_loaded, status
+  FROM outcome LEFT JOIN again a USING (gcs_uri) WHERE rows_expected > 0"""
 
 STATUS_COUNTS = """count(*) FILTER (status = 'SUCCESS') AS successful,
   count(*) FILTER (status = 'FAILED') AS failed, count(*) FILTER (status = 'PARTIAL') AS partial"""
@@ -246,8 +248,8 @@ def all_sql() -> dict[str, str]:
             f"SELECT {BASE_COLUMNS} FROM loaded",
             stamped="""SELECT * REPLACE (CASE WHEN done THEN TIMESTAMP '2024-03-01 12:00:00'
               ELSE TIMESTAMP '2024-03-02 12:00:00' END AS run_ts) FROM good""",
-            both=_rows("stamped", _time(_field("EventDt"))),
-            loaded="""SELECT * FROM both WHERE file_no % 5 <> 0 OR hash_fingerprint NOT IN
+            all_rows=_rows("stamped", _time(_field("EventDt"))),
+            loaded="""SELECT * FROM all_rows WHERE file_no % 5 <> 0 OR hash_fingerprint NOT IN
               (SELECT hash_fingerprint FROM base)""",
         ),
         "ingest_archive": _sql(
@@ -263,10 +265,10 @@ def all_sql() -> dict[str, str]:
               WHERE NOT t.done)"""
         ),
         "reprocess_failed": _sql(
-            STATE.format(ledger="outcome"), **_files_after("status IN ('FAILED', 'PARTIAL')")
+            STATE, **_files_after("status IN ('FAILED', 'PARTIAL')")
         ),
         "reprocess_file": _sql(
-            STATE.format(ledger="outcome"),
+            STATE,
             **_files_after(
                 "gcs_uri = (SELECT min(gcs_uri) FROM one_run WHERE status = 'PARTIAL')"
             ),
@@ -363,7 +365,7 @@ def all_sql() -> dict[str, str]:
             GROUP BY ALL HAVING occurrences > 1 ORDER BY occurrences DESC, dedupe_key LIMIT 20"""
         ),
         "r10_daily_volume": _sql(
-            """SELECT CAST(processed_timestamp AS DATE) AS processing_date,
+            """SELECT CAST(CAST(processed_timestamp AS DATE) AS VARCHAR) AS processing_date,
               count(*) AS files_processed, CAST(sum(rows_loaded) AS BIGINT) AS total_rows,
               avg(rows_loaded) AS avg_rows_per_file, min(rows_loaded) AS min_rows,
               max(rows_loaded) AS max_rows
@@ -435,7 +437,7 @@ def all_sql() -> dict[str, str]:
             FROM day GROUP BY now"""
         ),
         "r21_volume_anomaly": _sql(
-            """SELECT now AS check_time, d.day AS processing_date, d.n AS today_rows,
+            """SELECT now AS check_time, CAST(d.day AS VARCHAR) AS processing_date, d.n AS today_rows,
               mean AS avg_daily_rows, round(abs(d.n - mean) / mean * 100, 2) AS pct_deviation,
               CASE WHEN abs(d.n - mean) > 0.5 * mean THEN 'WARNING: Unusual volume'
                 ELSE 'OK' END AS status

@@ -39,7 +39,7 @@ def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable):
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx.events(spark, sf_dir)  # sets the session up
-        return fx.without_zone(function(spark, sf_dir))
+        return fx.portable(function(spark, sf_dir))
 
     run.__name__ = function.__name__
     run.__doc__ = function.__doc__
@@ -66,7 +66,7 @@ def stored(spark: SparkSession, sf_dir: str) -> Stored:
     warehouse = _once(spark, sf_dir, "tables", fx.build_tables)
     now = _once(spark, sf_dir, "now", fx.now_of)
     lines = fx.raw_lines(spark, sf_dir)
-    return Stored(warehouse, lines.select("gcs_uri"), lines, now)
+    return Stored(warehouse, fx.raw_files(spark, sf_dir), lines, now)
 
 
 # -- operators on lines ---------------------------------------------------------------
@@ -118,7 +118,7 @@ def file_stats(spark, sf_dir):
 def ledger_rows(spark, sf_dir):
     lines = fx.raw_lines(spark, sf_dir)
     rows = ln.parse_lines(lines, F.lit(None).cast("timestamp"))
-    files = lines.select("gcs_uri", "file_no", "file_ts").distinct()
+    files = fx.raw_files(spark, sf_dir)
     loaded = lg.rows_per_file(rows, "rows_loaded")
     return lg.ledger_rows(files, ln.file_stats(lines), loaded, fx.processed_at())
 
@@ -128,7 +128,7 @@ def ledger_rows_uncounted(spark, sf_dir):
     """The variant that takes every file for a success."""
     lines = fx.raw_lines(spark, sf_dir)
     rows = ln.parse_lines(lines, F.lit(None).cast("timestamp"), VARIANTS["triggered_script"])
-    files = lines.select("gcs_uri", "file_no", "file_ts").distinct()
+    files = fx.raw_files(spark, sf_dir)
     return lg.uncounted_rows(files, lg.rows_per_file(rows, "rows_loaded"), fx.processed_at())
 
 
@@ -136,7 +136,7 @@ def ledger_rows_uncounted(spark, sf_dir):
 def ledger_merge(spark, sf_dir):
     """Rows an insert-only merge adds when all files are offered again."""
     s = stored(spark, sf_dir)
-    files = s.lines.select("gcs_uri", "file_no", "file_ts").distinct()
+    files = s.files
     loaded = files.select("gcs_uri", F.lit(0).cast("bigint").alias("rows_loaded"))
     offered = lg.ledger_rows(files, ln.file_stats(s.lines), loaded, fx.processed_at())
     return lg.merge_new(s.ledger, offered)
@@ -153,7 +153,7 @@ def ledger_latest(spark, sf_dir):
 @query
 def pending_files(spark, sf_dir):
     s = stored(spark, sf_dir)
-    files = lg.not_in_ledger(s.files.distinct(), s.ledger)
+    files = lg.not_in_ledger(s.files, s.ledger)
     uri = F.col("gcs_uri")
     return files.select(
         "gcs_uri",
