@@ -3,6 +3,9 @@
 A line is parsed once: as ``[<line>,{"__end":"1"}]``. The result has exactly two elements,
 the second being the end mark, only if the line was one complete JSON value: truncated
 objects, trailing text, several objects and stray brackets all fail this test.
+
+The expressions work on a column named ``data``. They are written as one SQL text each, since
+building them piece by piece takes hundreds of calls to Spark.
 """
 
 from __future__ import annotations
@@ -10,62 +13,50 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logledger.functions.values import starts_object
 from logledger.schemas import RAW_KEYS
 
-_END = "__end"
-_KEYS = (*RAW_KEYS, _END)
+_KEYS = (*RAW_KEYS, "__end")
 _SHAPE = "array<struct<%s>>" % ", ".join(f"`{k}` string" for k in _KEYS)
-_MAYBE_NESTED = r":\s*[\[{]"
-
-
-def _as_array(data: Column) -> Column:
-    closed = F.concat(F.lit("["), data, F.lit(',{"%s":"1"}]' % _END))
-    return F.from_json(closed, _SHAPE, {"allowSingleQuotes": "false"})
-
+_ARRAY = f"""from_json(concat('[', data, ',{{"__end":"1"}}]'), '{_SHAPE}',
+  map('allowSingleQuotes', 'false'))"""
 
-def _if_whole(array: Column) -> Column:
-    return F.when((F.size(array) == 2) & (array[1][_END] == "1"), array[0])
+# The lambda binds the parsed array: it is computed once and tested three times.
+_WHOLE = f"transform(array({_ARRAY}), a -> IF(size(a) = 2 AND a[1].__end = '1', a[0], NULL))"
 
 
-def _scalar(record: Column, key: str, data: Column) -> Column:
+def _scalar(key: str) -> str:
     """A field unless it is an object or array. The text of one and that of a string holding
     the same characters look alike, so a value that opens with a bracket is looked up again
     with its JSON type."""
-    value = record[key]
-    found = F.try_variant_get(F.try_parse_json(data), f"$.{key}", "variant")
-    nested = F.coalesce(F.schema_of_variant(found).rlike("^(OBJECT|ARRAY)"), F.lit(False))
-    opens = value.startswith("{") | value.startswith("[")
-    return F.when(opens, F.when(~nested, value)).otherwise(value).alias(key)
+    found = f"try_variant_get(try_parse_json(data), '$.{key}', 'variant')"
+    nested = f"coalesce(rlike(schema_of_variant({found}), '^(OBJECT|ARRAY)'), false)"
+    opens = f"startswith(r.{key}, '{{') OR startswith(r.{key}, '[')"
+    return f"'{key}', CASE WHEN {opens} THEN IF({nested}, NULL, r.{key}) ELSE r.{key} END"
 
 
-def _scalars(record: Column, data: Column) -> Column:
-    """The record with NULL for objects and arrays; only lines that may hold some pay."""
-    rebuilt = F.struct(*[_scalar(record, k, data) for k in _KEYS])
-    maybe = record.isNotNull() & data.rlike(_MAYBE_NESTED)
-    return F.when(maybe, rebuilt).otherwise(record)
+# Only lines that may hold a nested value pay for the second look.
+_RECORD = f"""transform({_WHOLE}, r -> IF(r IS NOT NULL AND data RLIKE ':[ \\\\t]*[{{\\\\[]',
+  named_struct({", ".join(_scalar(k) for k in _KEYS)}), r))"""
+_OBJECT_START = r"data RLIKE '^\\s*\\{'"
 
 
-def record_or_null(data: Column) -> Column:
-    """The record of a valid object line, else NULL. The lambdas bind the parsed value, so
-    the text is parsed once although the tests refer to it several times."""
-    whole = F.transform(F.array(_as_array(data)), _if_whole)
-    return F.transform(whole, lambda r: _scalars(r, data))[0]
+def record_or_null() -> Column:
+    """The record of a valid object line, else NULL."""
+    return F.expr(f"({_RECORD})[0]")
 
 
-def each_record(data: Column) -> Column:
+def each_record() -> Column:
     """Generator: one row per valid object line, none for any other line. A generator keeps
     the optimizer from repeating the parse in a filter below the projection."""
-    return F.explode(F.filter(F.array(record_or_null(data)), lambda r: r.isNotNull()))
+    return F.expr(f"explode(filter({_RECORD}, r -> r IS NOT NULL))")
 
 
-def each_record_lenient(data: Column) -> Column:
+def each_record_lenient() -> Column:
     """Generator: one row per line that starts an object; unreadable ones give a NULL record."""
-    record = record_or_null(data)
-    return F.explode(F.filter(F.array(record), lambda r: starts_object(data)))
+    return F.expr(f"explode(filter({_RECORD}, r -> {_OBJECT_START}))")
 
 
-def is_json(data: Column) -> Column:
+def is_json(text: Column) -> Column:
     """Whether a text is one complete JSON value of any kind."""
-    closed = F.concat(F.lit("["), data, F.lit("]"))
+    closed = F.concat(F.lit("["), text, F.lit("]"))
     return F.coalesce(F.json_array_length(closed) == 1, F.lit(False))

@@ -89,6 +89,3 @@ def number_text(value: Column) -> Column:
 def is_blank(text: Column) -> Column:
     return text.isNull() | text.rlike(r"^\s*$")
 
-
-def starts_object(text: Column) -> Column:
-    return text.rlike(r"^\s*\{")

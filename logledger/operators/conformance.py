@@ -42,7 +42,7 @@ def judge_lines(lines: DataFrame) -> DataFrame:
     fields. Other columns of the lines are kept."""
     data = F.col("data")
     rows = lines.withColumn("is_line", ~v.is_blank(data)).withColumn(
-        "r", F.when(F.col("is_line"), jl.record_or_null(data))
+        "r", F.when(F.col("is_line"), jl.record_or_null())
     )
     record = F.col("r")
     rows = rows.withColumn("missing", _missing_keys(record, data))

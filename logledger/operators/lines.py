@@ -28,7 +28,7 @@ NUMBER_FIELDS = {"bytes": "Bytes", "cust_id": "CustId", "hash_code": "HashCode"}
 def read_records(lines: DataFrame, lenient: bool = False) -> DataFrame:
     """Adds the 14 raw fields as text columns; lines that are no record are dropped."""
     generate = jl.each_record_lenient if lenient else jl.each_record
-    found = lines.withColumn("_record", generate(F.col("data")))
+    found = lines.withColumn("_record", generate())
     return found.select(*lines.columns, *[F.col("_record")[k].alias(k) for k in RAW_KEYS])
 
 

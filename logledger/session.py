@@ -24,6 +24,8 @@ CLUSTER_SETTINGS = {
     # Text compresses about eightfold into Parquet: large splits give archive files of a
     # useful size without a shuffle.
     "spark.sql.files.maxPartitionBytes": "512m",
+    # Logs are many small files: let a task take more of them.
+    "spark.sql.files.openCostInBytes": "512k",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Upper bound for shuffles; AQE coalesces downwards from here.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
@@ -47,6 +49,9 @@ def local_session(
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        # Small data: tasks of a few MB keep all cores busy in rebalanced writes.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "128k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

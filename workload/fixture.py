@@ -109,7 +109,11 @@ def lines_sql(dialect: dict[str, str]) -> str:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # A small table is one file that cannot be split: spread it over the cores. A large one
+    # has splits enough and is not shuffled.
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
