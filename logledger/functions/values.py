@@ -19,7 +19,10 @@ EVENT_TIME_FORMATS = {
 FINGERPRINT_KEYS = ("EventDt", "Source", "Filename", "Bytes", "UserName")
 
 
-def instant(value: datetime | str | Column) -> Column:
+Instant = datetime | str | Column
+
+
+def instant(value: Instant) -> Column:
     """A timestamp literal; naive datetimes and texts are UTC."""
     if isinstance(value, Column):
         return value

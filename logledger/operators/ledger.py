@@ -47,7 +47,7 @@ def ledger_rows(
     files: DataFrame,
     expected: DataFrame,
     loaded: DataFrame,
-    run_ts: Column,
+    run_ts: v.Instant,
     seconds: Column | None = None,
 ) -> DataFrame:
     """One ledger row per file of ``files``.
@@ -63,7 +63,7 @@ def ledger_rows(
     status, message = _status(want, have)
     return _as_ledger(
         counted,
-        processed_timestamp=run_ts,
+        processed_timestamp=v.instant(run_ts),
         rows_loaded=have,
         rows_expected=want,
         parse_errors=F.greatest(want - have, F.lit(0)),
@@ -73,22 +73,22 @@ def ledger_rows(
     )
 
 
-def uncounted_rows(files: DataFrame, loaded: DataFrame, run_ts: Column) -> DataFrame:
+def uncounted_rows(files: DataFrame, loaded: DataFrame, run_ts: v.Instant) -> DataFrame:
     """Ledger rows of the variant that takes every file for a success."""
     counted = files.join(loaded.select("gcs_uri", "rows_loaded"), "gcs_uri", "left")
     return _as_ledger(
         counted,
-        processed_timestamp=run_ts,
+        processed_timestamp=v.instant(run_ts),
         rows_loaded=F.coalesce(F.col("rows_loaded"), F.lit(0)),
         status=F.lit("SUCCESS"),
     )
 
 
-def failure_rows(files: DataFrame, error: BaseException, run_ts: Column) -> DataFrame:
+def failure_rows(files: DataFrame, error: BaseException, run_ts: v.Instant) -> DataFrame:
     """FAILED rows for files whose load raised an error."""
     return _as_ledger(
         files,
-        processed_timestamp=run_ts,
+        processed_timestamp=v.instant(run_ts),
         rows_loaded=F.lit(0),
         status=F.lit("FAILED"),
         error_message=F.lit(str(error)[:ERROR_TEXT_LIMIT]),

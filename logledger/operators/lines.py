@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logledger.functions import json_lines as jl
@@ -33,9 +33,10 @@ def read_records(lines: DataFrame, lenient: bool = False) -> DataFrame:
 
 
 def parse_lines(
-    lines: DataFrame, run_ts: Column, options: IngestOptions = IngestOptions()
+    lines: DataFrame, run_ts: v.Instant, options: IngestOptions = IngestOptions()
 ) -> DataFrame:
     """Raw lines to base rows (18 columns). One pass, no shuffle."""
+    run_ts = v.instant(run_ts)
     records = read_records(lines, options.lenient)
     event_dt = v.event_time(F.col("EventDt"), options.timestamp_rule)
     mark = F.lit(None).cast("string")
@@ -55,8 +56,9 @@ def parse_lines(
     return records.select(*[columns[f.name].alias(f.name) for f in BASE])
 
 
-def archive_lines(lines: DataFrame, run_ts: Column) -> DataFrame:
+def archive_lines(lines: DataFrame, run_ts: v.Instant) -> DataFrame:
     """Every non-empty raw line, readable or not."""
+    run_ts = v.instant(run_ts)
     columns = {
         "raw_json": F.col("data"),
         "archived_timestamp": run_ts,

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from logledger.functions import values as v
 from logledger.operators.assemble import one_row
 from logledger.plans.reports.common import pending, top
-from logledger.plans.reports.health import STALE_AFTER_MINUTES, Instant
+from logledger.plans.reports.health import STALE_AFTER_MINUTES
 
 # Fixed value: how many stale files are named.
 SAMPLES = 5
 
 
-def stale_files(files: DataFrame, ledger: DataFrame, now: Instant) -> DataFrame:
+def stale_files(files: DataFrame, ledger: DataFrame, now: v.Instant) -> DataFrame:
     """Pending files, those over 30 minutes old, the oldest age and the five oldest names.
     The names are a top-k before they are collected into the array."""
     now = v.instant(now)

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from logledger.functions import values as v
 from logledger.plans.reports.common import LAST_WEEK, recent, top
-from logledger.plans.reports.health import Instant
 
 
-def user_mix(base: DataFrame, now: Instant) -> DataFrame:
+def user_mix(base: DataFrame, now: v.Instant) -> DataFrame:
     """Customer, partner and unknown events and distinct customers and partners, over 7 days.
     Events are counted per pair first; the distinct counts then see one row per pair."""
     rows = recent(base, "event_dt", v.instant(now), *LAST_WEEK)
@@ -32,7 +31,7 @@ def user_mix(base: DataFrame, now: Instant) -> DataFrame:
     )
 
 
-def action_mix(base: DataFrame, now: Instant) -> DataFrame:
+def action_mix(base: DataFrame, now: v.Instant) -> DataFrame:
     """Events per action and their share, over 7 days. The total is a scalar subquery over
     the grouped counts, so no task sees all groups."""
     rows = recent(base, "event_dt", v.instant(now), *LAST_WEEK)

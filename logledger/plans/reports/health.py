@@ -6,9 +6,8 @@ caller, never read from a clock.
 
 from __future__ import annotations
 
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logledger.functions import values as v
@@ -24,15 +23,13 @@ from logledger.plans.reports.common import (
 )
 from logledger.schemas import MONITORING
 
-Instant = datetime | str | Column
-
 # Thresholds.
 ERROR_RATE_LIMIT = 0.05
 LATENCY_LIMIT_MINUTES = 15
 STALE_AFTER_MINUTES = 30
 
 
-def pipeline_status(ledger: DataFrame, now: Instant) -> DataFrame:
+def pipeline_status(ledger: DataFrame, now: v.Instant) -> DataFrame:
     """Files, rows and errors of the last 24 hours."""
     return recent(ledger, "processed_timestamp", v.instant(now), *LAST_DAY).agg(
         F.lit("Pipeline Status - Last 24 Hours").alias("report"),
@@ -50,7 +47,7 @@ def pending_count(files: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def recent_files(ledger: DataFrame, now: Instant, limit: int = 10) -> DataFrame:
+def recent_files(ledger: DataFrame, now: v.Instant, limit: int = 10) -> DataFrame:
     """The files processed last."""
     newest = top(ledger, limit, F.desc("processed_timestamp"), "gcs_uri")
     return newest.select(
@@ -101,7 +98,7 @@ def row_reconciliation(
     return counts.select(F.lit("Row Count Validation").alias("check_name"), "*")
 
 
-def heartbeat(files: DataFrame, ledger: DataFrame, now: Instant) -> DataFrame:
+def heartbeat(files: DataFrame, ledger: DataFrame, now: v.Instant) -> DataFrame:
     """Files processed in the last hour against the backlog."""
     now = v.instant(now)
     done = recent(ledger, "processed_timestamp", now, *LAST_HOUR).agg(
@@ -117,7 +114,7 @@ def heartbeat(files: DataFrame, ledger: DataFrame, now: Instant) -> DataFrame:
     )
 
 
-def processing_latency(files: DataFrame, ledger: DataFrame, now: Instant) -> DataFrame:
+def processing_latency(files: DataFrame, ledger: DataFrame, now: v.Instant) -> DataFrame:
     """Delay from file creation to processing, one value per raw file and ledger row."""
     now = v.instant(now)
     done = recent(ledger, "processed_timestamp", now, *LAST_DAY)
@@ -140,7 +137,7 @@ def processing_latency(files: DataFrame, ledger: DataFrame, now: Instant) -> Dat
     )
 
 
-def error_rate(ledger: DataFrame, now: Instant) -> DataFrame:
+def error_rate(ledger: DataFrame, now: v.Instant) -> DataFrame:
     now = v.instant(now)
     share = F.try_divide(F.count_if(not_success()).cast("double"), F.count("*").cast("double"))
     rates = recent(ledger, "processed_timestamp", now, *LAST_DAY).agg(
@@ -154,7 +151,7 @@ def error_rate(ledger: DataFrame, now: Instant) -> DataFrame:
     return rates.select(now.alias("check_time"), "*")
 
 
-def dashboard(files: DataFrame, ledger: DataFrame, now: Instant) -> DataFrame:
+def dashboard(files: DataFrame, ledger: DataFrame, now: v.Instant) -> DataFrame:
     """One row on everything. The ledger is read once, with conditional aggregates."""
     now = v.instant(now)
     hour = F.col("processed_timestamp") >= v.before(now, *LAST_HOUR)
@@ -191,7 +188,7 @@ def dashboard(files: DataFrame, ledger: DataFrame, now: Instant) -> DataFrame:
     )
 
 
-def monitoring_snapshot(files: DataFrame, ledger: DataFrame, now: Instant) -> DataFrame:
+def monitoring_snapshot(files: DataFrame, ledger: DataFrame, now: v.Instant) -> DataFrame:
     """The row a check appends to the monitoring table. Its latency is the age of the oldest
     pending file, unlike the processing delay of ``processing_latency``."""
     now = v.instant(now)

@@ -9,10 +9,9 @@ from logledger.functions import json_lines as jl
 from logledger.functions import values as v
 from logledger.operators.assemble import one_row
 from logledger.plans.reports.common import LAST_DAY, recent, top
-from logledger.plans.reports.health import Instant
 
 
-def null_check(base: DataFrame, now: Instant) -> DataFrame:
+def null_check(base: DataFrame, now: v.Instant) -> DataFrame:
     # Result column -> base column.
     checked = {
         "null_load_time": "load_time_dt",
@@ -28,7 +27,7 @@ def null_check(base: DataFrame, now: Instant) -> DataFrame:
     )
 
 
-def cast_failures(base: DataFrame, now: Instant) -> DataFrame:
+def cast_failures(base: DataFrame, now: v.Instant) -> DataFrame:
     """Empty numbers although the raw text mentions them."""
     # Result column -> base column and the word looked for.
     checked = {
@@ -54,7 +53,7 @@ def duplicate_files(ledger: DataFrame, limit: int = 10) -> DataFrame:
     )
 
 
-def duplicate_rows(base: DataFrame, now: Instant, limit: int = 20) -> DataFrame:
+def duplicate_rows(base: DataFrame, now: v.Instant, limit: int = 20) -> DataFrame:
     key = F.coalesce(F.col("hash_fingerprint"), F.col("hash_code").cast("string"))
     keyed = recent(base, "load_time_dt", v.instant(now), *LAST_DAY).select(key.alias("dedupe_key"))
     counted = keyed.filter("dedupe_key IS NOT NULL").groupBy("dedupe_key")

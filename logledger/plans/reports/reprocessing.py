@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from logledger.functions import values as v
 from logledger.operators.ledger import repeated_files
-from logledger.plans.reports.health import Instant
 from logledger.plans.reprocess import UNFINISHED
 
 
@@ -26,7 +25,7 @@ def file_state(ledger: DataFrame, uri: str) -> DataFrame:
     )
 
 
-def files_in_range(ledger: DataFrame, start: Instant, end: Instant) -> DataFrame:
+def files_in_range(ledger: DataFrame, start: v.Instant, end: v.Instant) -> DataFrame:
     """Files processed between two instants, both included."""
     span = F.col("processed_timestamp").between(v.instant(start), v.instant(end))
     return (

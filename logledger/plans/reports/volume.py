@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from logledger.functions import values as v
 from logledger.plans.reports.common import LAST_WEEK, recent, top
-from logledger.plans.reports.health import Instant
 from logledger.sources.warehouse import Warehouse
 
 # Fixed value: share of the mean from which a day is unusual.
@@ -25,7 +24,7 @@ def daily_volume(ledger: DataFrame, limit: int = 30) -> DataFrame:
     return top(days, limit, F.desc("processing_date"))
 
 
-def hourly_distribution(ledger: DataFrame, now: Instant) -> DataFrame:
+def hourly_distribution(ledger: DataFrame, now: v.Instant) -> DataFrame:
     """Hours of the day, over 7 days."""
     rows = recent(ledger, "processed_timestamp", v.instant(now), *LAST_WEEK)
     hours = rows.groupBy(F.hour("processed_timestamp").alias("hour_of_day"))
@@ -34,7 +33,7 @@ def hourly_distribution(ledger: DataFrame, now: Instant) -> DataFrame:
     ).orderBy("hour_of_day")
 
 
-def source_volume(base: DataFrame, now: Instant) -> DataFrame:
+def source_volume(base: DataFrame, now: v.Instant) -> DataFrame:
     """Events and active days per source, over 7 days. Grouping by source and day first
     makes the distinct count a plain count and spreads a source that dominates."""
     rows = recent(base, "event_dt", v.instant(now), *LAST_WEEK)
@@ -53,7 +52,7 @@ def source_volume(base: DataFrame, now: Instant) -> DataFrame:
     )
 
 
-def volume_anomaly(ledger: DataFrame, now: Instant) -> DataFrame:
+def volume_anomaly(ledger: DataFrame, now: v.Instant) -> DataFrame:
     """Rows of today against the mean of the preceding days of an 8-day window, which may
     begin within a day; no row if nothing was processed today."""
     now = v.instant(now)
@@ -82,7 +81,7 @@ def volume_anomaly(ledger: DataFrame, now: Instant) -> DataFrame:
     )
 
 
-def volume_statistics(ledger: DataFrame, now: Instant) -> DataFrame:
+def volume_statistics(ledger: DataFrame, now: v.Instant) -> DataFrame:
     """Mean and sample deviation of the daily rows the anomaly report compares with."""
     now = v.instant(now)
     rows = recent(ledger, "processed_timestamp", now, 8, "DAYS")
