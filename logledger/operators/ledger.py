@@ -84,14 +84,23 @@ def uncounted_rows(files: DataFrame, loaded: DataFrame, run_ts: v.Instant) -> Da
     )
 
 
-def failure_rows(files: DataFrame, error: BaseException, run_ts: v.Instant) -> DataFrame:
-    """FAILED rows for files whose load raised an error."""
+def failure_rows(
+    files: DataFrame, error: BaseException, run_ts: v.Instant, expected: DataFrame | None = None
+) -> DataFrame:
+    """FAILED rows for files whose load raised an error, with the expected rows if the load
+    came far enough to count them."""
+    known = {}
+    if expected is not None:
+        files = files.join(expected.select("gcs_uri", "rows_expected"), "gcs_uri", "left")
+        want = F.coalesce(F.col("rows_expected"), F.lit(0))
+        known = {"rows_expected": want, "parse_errors": want}
     return _as_ledger(
         files,
         processed_timestamp=v.instant(run_ts),
         rows_loaded=F.lit(0),
         status=F.lit("FAILED"),
         error_message=F.lit(str(error)[:ERROR_TEXT_LIMIT]),
+        **known,
     )
 
 

@@ -44,9 +44,11 @@ def load_files(
     started = time.monotonic() if started is None else started
     run_ts = v.instant(now)
     based_on = warehouse.version()
+    expected = None
     try:
         archive = warehouse.stage("archive", archive_lines(lines, run_ts), batch)
         archived = warehouse.read_folders("archive", archive.added)
+        expected = lg.rows_per_file(archived, "rows_expected")
         base = warehouse.stage(
             "base", parse_lines(archived_as_lines(archived), run_ts, options), batch
         )
@@ -60,7 +62,6 @@ def load_files(
         rows = warehouse.read_folders("base", base.added)
         loaded = lg.rows_per_file(rows, "rows_loaded")
         if options.count_rows:
-            expected = lg.rows_per_file(archived, "rows_expected")
             seconds = F.lit(float(int(time.monotonic() - started)))
             new = lg.ledger_rows(files, expected, loaded, run_ts, seconds)
         else:
@@ -74,7 +75,7 @@ def load_files(
         raise
     except Exception as error:
         if options.record_failures:
-            rows = lg.failure_rows(files, error, run_ts)
+            rows = lg.failure_rows(files, error, run_ts, expected)
             warehouse.append("ledger", rows, f"{batch}-failed")
         raise
 

@@ -17,6 +17,11 @@ NOW = datetime(2026, 1, 28, 12)
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, "tests", "4g")
+    # Tiny inputs: compiling code takes longer than running without. The query tests and
+    # the plan tests turn it back on.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()
 
