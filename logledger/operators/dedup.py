@@ -10,14 +10,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A hundred bytes each in a broadcast: at most about 100 MB.
+BROADCAST_KEYS = 1_000_000
+
+
 def with_event_date(rows: DataFrame) -> DataFrame:
     return rows.withColumn("event_date", F.to_date("event_dt"))
 
 
-def _distinct_keys(rows: DataFrame, by_date: bool, prefix: str) -> DataFrame:
+def _keys(rows: DataFrame, by_date: bool, prefix: str) -> DataFrame:
     mark = F.col("hash_fingerprint").alias(prefix + "mark")
     date = [F.col("event_date").alias(prefix + "date")] if by_date else []
-    return rows.filter(F.col("hash_fingerprint").isNotNull()).select(*date, mark).distinct()
+    return rows.filter(F.col("hash_fingerprint").isNotNull()).select(*date, mark)
+
+
+def _distinct_keys(rows: DataFrame, by_date: bool, prefix: str) -> DataFrame:
+    return _keys(rows, by_date, prefix).distinct()
 
 
 def _equal(left: tuple[str, str], right: tuple[str, str], by_date: bool) -> Column:
@@ -26,14 +34,23 @@ def _equal(left: tuple[str, str], right: tuple[str, str], by_date: bool) -> Colu
     return same & F.col(left[0]).eqNullSafe(F.col(right[0])) if by_date else same
 
 
-def seen_keys(batch: DataFrame, history: DataFrame, by_date: bool = True) -> DataFrame:
-    """Fingerprints of the batch that history already holds, as (seen_date, seen_mark). Both
-    inputs need only ``event_date`` and ``hash_fingerprint``; each key is shuffled once,
-    however often it occurs."""
+def seen_keys(
+    batch: DataFrame, history: DataFrame, by_date: bool = True, small_batch: bool = False
+) -> DataFrame:
+    """Fingerprints that batch and history share, as (seen_date, seen_mark), each once. Both
+    inputs need only ``event_date`` and ``hash_fingerprint``.
+
+    small_batch: the caller has checked that the batch has at most BROADCAST_KEYS rows. Its
+    keys are broadcast then and history is only scanned. Otherwise distinct keys of both
+    sides are shuffled, each once per task however often it occurs.
+    """
     mine = _distinct_keys(batch, by_date, "seen_")
-    old = _distinct_keys(history, by_date, "old_")
     same = _equal(("seen_date", "seen_mark"), ("old_date", "old_mark"), by_date)
-    return mine.join(old, same, "left_semi")
+    if not small_batch:
+        return mine.join(_distinct_keys(history, by_date, "old_"), same, "left_semi")
+    old = _keys(history, by_date, "old_").join(F.broadcast(mine), same, "left_semi")
+    names = {"old_mark": "seen_mark"} | ({"old_date": "seen_date"} if by_date else {})
+    return old.distinct().withColumnsRenamed(names).select(*mine.columns)
 
 
 def drop_seen(batch: DataFrame, seen: DataFrame, by_date: bool = True) -> DataFrame:
@@ -43,10 +60,20 @@ def drop_seen(batch: DataFrame, seen: DataFrame, by_date: bool = True) -> DataFr
     return batch.join(seen, same, "left_anti")
 
 
-def drop_history(batch: DataFrame, history: DataFrame, by_date: bool = True) -> DataFrame:
-    """Rows of the batch whose fingerprint is not in history, in one plan. Copies inside the
-    batch stay."""
-    return drop_seen(batch, seen_keys(batch, history, by_date), by_date)
+def drop_history(
+    batch: DataFrame, history: DataFrame, scratch: str, by_date: bool = True
+) -> DataFrame:
+    """Rows of the batch whose fingerprint is not in history. Copies inside the batch stay.
+    The shared keys are kept as a table in the folder ``scratch``: read from there, they
+    leave AQE free to broadcast them or to split a hot key of the batch."""
+    seen = stored(seen_keys(batch, history, by_date), scratch)
+    return drop_seen(batch, seen, by_date)
+
+
+def stored(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows as a run-scoped table: computed once, and safe from lost executors."""
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def _first_per_key(rows: DataFrame, key: list, order: list) -> DataFrame:
@@ -70,15 +97,19 @@ def base_key():
 
 def dedup_base(base: DataFrame) -> DataFrame:
     """Earliest loaded row per file and row hash; rows with neither hash nor fingerprint
-    cannot be compared and all stay."""
-    key = base_key()
-    rest = base.filter(key[1].isNull())
-    keyed = base.filter(key[1].isNotNull())
-    return _first_per_key(keyed, key, ["load_time_dt"]).unionByName(rest)
+    cannot be compared and all stay. Parquet statistics rule out nearly all data for those,
+    so reading them apart costs no second scan."""
+    none = F.col("hash_code").isNull() & F.col("hash_fingerprint").isNull()
+    kept = _first_per_key(base.filter(~none), base_key(), ["load_time_dt"])
+    return kept.unionByName(base.filter(none))
 
 
-def repeated_base_keys(base: DataFrame) -> DataFrame:
+def folders_with_copies(base: DataFrame, folder: list[str]) -> DataFrame:
+    """Folders (the columns ``folder``) that hold a row some other row equals in file and
+    row hash. Rows are counted per key and folder first, so even a key that a third of all
+    rows share brings the window over a key no more rows than there are folders."""
     uri, row = base_key()
-    keyed = base.select(uri.alias("gcs_uri"), row.alias("row_key")).filter("row_key IS NOT NULL")
-    counted = keyed.groupBy("gcs_uri", "row_key").agg(F.count("*").alias("n"))
-    return counted.filter("n > 1").drop("n")
+    keyed = base.select(*folder, uri.alias("uri"), row.alias("row")).filter("row IS NOT NULL")
+    counted = keyed.groupBy(*folder, "uri", "row").agg(F.count("*").alias("n"))
+    copies = F.sum("n").over(Window.partitionBy("uri", "row"))
+    return counted.withColumn("copies", copies).filter("copies > 1").select(*folder).distinct()

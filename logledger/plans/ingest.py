@@ -8,6 +8,7 @@ and loaded rows come from two narrow columns of what was just written.
 
 from __future__ import annotations
 
+import contextlib
 import time
 from collections.abc import Callable
 from datetime import datetime
@@ -21,11 +22,10 @@ from logledger.operators import dedup
 from logledger.operators import ledger as lg
 from logledger.operators.lines import archive_lines, archived_as_lines, parse_lines
 from logledger.options import IngestOptions
-from logledger.sources.files import shared_folder
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import Change, VersionConflict, Warehouse, partition_date
 
-COMPACT_LEDGER_ABOVE = 64
+COMPACT_ABOVE = 64
 
 
 def load_files(
@@ -96,17 +96,11 @@ def _without_history(
     written again."""
     if not past or not base.added:
         return base
-    spark = warehouse.spark
-    seen = dedup.seen_keys(
-        warehouse.read_folders("base", base.added).select("event_date", "hash_fingerprint"),
-        warehouse.read_folders("base", past).select("event_date", "hash_fingerprint"),
-        by_date,
-    )
-    # Used twice below: kept as a run-scoped table, so that neither use recomputes it.
-    folder = f"{warehouse.root}/_runs/{batch}/seen"
-    schema = seen.schema
-    seen.write.mode("overwrite").parquet(folder)
-    seen = spark.read.schema(schema).parquet(folder)
+    batch_keys = warehouse.read_folders("base", base.added).select("event_date", "hash_fingerprint")
+    history = warehouse.read_folders("base", past).select("event_date", "hash_fingerprint")
+    small = batch_keys.count() <= dedup.BROADCAST_KEYS
+    seen = dedup.seen_keys(batch_keys, history, by_date, small)
+    seen = dedup.stored(seen, f"{warehouse.root}/_runs/{batch}/seen")
     if by_date:
         # At most one value per date folder of the batch.
         found = {r[0] for r in seen.select("seen_date").distinct().collect()}
@@ -170,8 +164,7 @@ def ingest_batch(
     for attempt in range(attempts):
         folder = f"{warehouse.root}/_runs/{run}/pending-{attempt}"
         found = landing.new_files(spark, warehouse.read("ledger"))
-        found.write.mode("overwrite").parquet(folder)
-        pending = spark.read.schema(found.schema).parquet(folder)
+        pending = dedup.stored(found, folder)
         try:
             for number, wave in enumerate(landing.waves(pending)):
                 if log:
@@ -186,10 +179,14 @@ def ingest_batch(
             # Another writer came first. What it loaded is in the ledger now.
             if attempt == attempts - 1:
                 raise
-    warehouse.commit_if_any(warehouse.compact("ledger", f"{run}-merged", COMPACT_LEDGER_ABOVE))
+    tidy(warehouse, run)
     return run_summary(warehouse, now, files, duplicates)
 
 
-def scratch_warehouse(spark) -> Warehouse:
-    """An empty warehouse in the shared scratch folder, for trials and tests."""
-    return Warehouse(spark, shared_folder(spark, "warehouse")).create()
+def tidy(warehouse: Warehouse, run: str) -> None:
+    """Merges folders where many runs have left many. Not urgent: if another writer commits
+    meanwhile, the next run does it."""
+    based_on = warehouse.version()
+    changes = [warehouse.compact(t, run, COMPACT_ABOVE) for t in ("ledger", "base", "archive")]
+    with contextlib.suppress(VersionConflict):
+        warehouse.commit_if_any(*changes, based_on=based_on)

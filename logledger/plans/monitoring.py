@@ -18,5 +18,5 @@ def record_snapshot(warehouse: Warehouse, landing: Landing, now: datetime) -> Da
     row = monitoring_snapshot(files, warehouse.read("ledger"), now)
     name = f"check-{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
     warehouse.append("monitoring", row, name)
-    warehouse.commit_if_any(warehouse.compact("monitoring", f"{name}-merged"))
+    warehouse.commit_if_any(warehouse.compact("monitoring", name))
     return latest_alert(warehouse.read("monitoring"))

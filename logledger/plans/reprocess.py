@@ -77,15 +77,9 @@ def deduplicate_base(warehouse: Warehouse) -> int:
     that hold a repeated key, so only these are read in full, sorted and written again."""
     based_on = warehouse.version()
     batch = _batch("dedup")
-    folders = warehouse.folders("base")
-    rows = warehouse.read_folders("base", folders, with_batch=True)
-    uri, key = dedup.base_key()
-    keyed = rows.select("batch", "event_date", uri.alias("gcs_uri"), key.alias("row_key"))
-    repeated = dedup.repeated_base_keys(rows).select(
-        F.col("gcs_uri").alias("r_uri"), F.col("row_key").alias("r_key")
-    )
-    same = F.col("gcs_uri").eqNullSafe(F.col("r_uri")) & (F.col("row_key") == F.col("r_key"))
-    touched = warehouse.folders_of("base", keyed.join(repeated, same, "left_semi"))
+    rows = warehouse.read_folders("base", warehouse.folders("base"), with_batch=True)
+    copies = dedup.folders_with_copies(rows, ["batch", "event_date"])
+    touched = warehouse.folders_of("base", copies)
     if not touched:
         return based_on
     kept = dedup.dedup_base(warehouse.read_folders("base", touched))

@@ -24,6 +24,7 @@ from logledger.sources.files import FileSystem
 
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 _BATCH = "batch"
+_MERGED = "-merged"
 
 
 class VersionConflict(RuntimeError):
@@ -83,10 +84,10 @@ class Warehouse:
             entry["folders"] = [f for f in entry["folders"] if f not in gone] + change.added
         return self._write_state(state, newest + 1)
 
-    def commit_if_any(self, *changes: Change) -> int:
+    def commit_if_any(self, *changes: Change, based_on: int | None = None) -> int:
         """Like commit, but leaves the version alone if nothing changes."""
         real = [c for c in changes if c.added or c.removed]
-        return self.commit(*real) if real else self.version()
+        return self.commit(*real, based_on=based_on) if real else self.version()
 
     # -- table definitions ------------------------------------------------------------
 
@@ -144,6 +145,18 @@ class Warehouse:
         """A table with its columns and, if it is partitioned, its partition date."""
         return self.read_folders(table, self.folders(table, dates))
 
+    def read_newest(self, table: str, rows: int) -> DataFrame:
+        """The newest date folders, as many as it takes to hold ``rows`` rows: all a report
+        on the latest rows has to read. Row counts come from Parquet footers."""
+        chosen: list[str] = []
+        live = self.folders(table)
+        dates = {partition_date(f) for f in live}
+        for date in sorted(dates - {_NO_DATE}, reverse=True) + sorted(dates & {_NO_DATE}):
+            chosen += [f for f in live if partition_date(f) == date]
+            if self.read_folders(table, chosen).count() >= rows:
+                break
+        return self.read_folders(table, chosen)
+
     def read_folders(self, table: str, folders: list[str], with_batch: bool = False) -> DataFrame:
         spec, schema = TABLES[table], self.schema(table)
         layout = [StructField(_BATCH, StringType())]
@@ -220,7 +233,7 @@ class Warehouse:
         if keys is None:
             doomed = rows.filter(where)
         else:
-            doomed = rows.join(keys.select(on).distinct(), on, "left_semi")
+            doomed = rows.join(keys.select(on), on, "left_semi")
         touched = self.folders_of(table, doomed)
         if not touched:
             return Change(table)
@@ -228,7 +241,7 @@ class Warehouse:
         if keys is None:
             rest = rest.filter(~F.coalesce(where, F.lit(False)))
         else:
-            rest = rest.join(keys.select(on).distinct(), on, "left_anti")
+            rest = rest.join(keys.select(on), on, "left_anti")
         return self.replace_rows(table, touched, rest, batch)
 
     def folders_of(self, table: str, rows: DataFrame) -> list[str]:
@@ -245,14 +258,17 @@ class Warehouse:
 
     def compact(self, table: str, batch: str, max_folders: int = 64) -> Change:
         """Stages the merger of the folders of each date that has more than max_folders, so
-        that many small runs do not leave many small files."""
+        that many small runs do not leave many small files. What was merged before is left
+        alone: each row is written again once."""
         groups: dict[str | None, list[str]] = {}
         for folder in self.folders(table):
-            groups.setdefault(partition_date(folder), []).append(folder)
+            if _MERGED not in folder:
+                groups.setdefault(partition_date(folder), []).append(folder)
         crowded = [f for g in groups.values() if len(g) > max_folders for f in g]
         if not crowded:
             return Change(table)
-        return self.replace_rows(table, crowded, self.read_folders(table, crowded), batch)
+        rows = self.read_folders(table, crowded)
+        return self.replace_rows(table, crowded, rows, batch + _MERGED)
 
     # -- size -------------------------------------------------------------------------
 

@@ -14,9 +14,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from logledger.operators.dedup import stored
 from logledger.operators.ledger import not_in_ledger
 from logledger.options import VARIANTS, IngestOptions
-from logledger.plans.ingest import load_files
+from logledger.plans.ingest import load_files, tidy
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import VersionConflict, Warehouse
 
@@ -38,8 +39,7 @@ def load_micro_batch(
             files = not_in_ledger(lines.select("gcs_uri").distinct(), warehouse.read("ledger"))
             # Which files are new must not change while their load writes ledger rows.
             folder = f"{warehouse.root}/_runs/stream-{epoch}/files-{attempt}"
-            files.write.mode("overwrite").parquet(folder)
-            files = warehouse.spark.read.schema("gcs_uri string").parquet(folder)
+            files = stored(files, folder)
             if files.isEmpty():
                 return
             fresh = lines.join(files, "gcs_uri", "left_semi")
@@ -47,6 +47,7 @@ def load_micro_batch(
             batch = f"stream-{epoch}-{now:%Y%m%dT%H%M%S%f}-{attempt}"
             try:
                 load_files(warehouse, files, fresh, now, batch, options)
+                tidy(warehouse, batch)
                 return
             except VersionConflict:
                 if attempt == attempts - 1:

@@ -16,29 +16,30 @@ def base_rows(spark, lines, uri="x/a.json"):
     return dedup.with_event_date(ln.parse_lines(lines_frame(spark, lines, uri), RUN))
 
 
+@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("by_date", [True, False])
-def test_rows_in_history_are_dropped_copies_in_the_batch_stay(spark, by_date):
+def test_rows_in_history_are_dropped_copies_in_the_batch_stay(spark, by_date, small):
     history = base_rows(spark, [record(1), record(1), record(2, EventDt="bad")])
     batch = base_rows(
         spark, [record(1), record(3), record(3), record(2, EventDt="bad"), record(4, EventDt=None)], "x/b.json"
     )
-    kept = dedup.drop_history(batch, history, by_date)
+    kept = dedup.drop_seen(batch, dedup.seen_keys(batch, history, by_date, small), by_date)
     assert sorted(r.user_name for r in kept.collect()) == ["10003", "10003", "10004"]
 
 
-def test_a_hot_key_in_batch_and_history(spark):
+def test_a_hot_key_in_batch_and_history(spark, tmp_path):
     """A third of all rows share one fingerprint, on both sides."""
     hot = [record(0)] * 300
     history = base_rows(spark, hot + [record(i) for i in range(1, 300)])
     batch = base_rows(spark, hot + [record(i) for i in range(200, 800)], "x/b.json")
-    kept = dedup.drop_history(batch, history)
+    kept = dedup.drop_history(batch, history, f"file:{tmp_path}/seen")
     assert sorted(int(r.user_name) for r in kept.collect()) == list(range(10300, 10800))
 
 
-def test_rows_without_fingerprint_are_never_duplicates(spark):
+def test_rows_without_fingerprint_are_never_duplicates(spark, tmp_path):
     empty = F.lit(None).cast("string")
     none = base_rows(spark, [record(1)]).withColumn("hash_fingerprint", empty)
-    assert dedup.drop_history(none, none).count() == 1
+    assert dedup.drop_history(none, none, f"file:{tmp_path}/seen").count() == 1
     assert dedup.first_in_batch(none.union(none)).count() == 2
 
 

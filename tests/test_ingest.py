@@ -4,6 +4,7 @@ import pytest
 from conftest import NOW, name, record, rows
 from pyspark.sql import functions as F
 
+from logledger.operators import dedup
 from logledger.options import VARIANTS, IngestOptions
 from logledger.plans import ingest
 from logledger.plans.ingest import ingest_batch, new_file_count
@@ -100,6 +101,14 @@ def test_copies_within_a_run(spark, folder, tmp_path):
         assert sizes(w)[0] == loaded
 
 
+def test_a_large_batch_is_compared_by_shuffling(warehouse, folder, monkeypatch):
+    monkeypatch.setattr(dedup, "BROADCAST_KEYS", 0)
+    folder.put(name("a"), [record(1), record(2), record(9, EventDt="bad")])
+    ingest_batch(warehouse, folder.landing, NOW)
+    folder.put(name("b"), [record(2), record(3), record(9, EventDt="bad")])
+    assert ingest_batch(warehouse, folder.landing, LATER).first().rows_already_loaded == 2
+
+
 @pytest.mark.parametrize("by_date", [True, False])
 def test_rows_without_a_date_are_recognized(warehouse, folder, by_date):
     options = IngestOptions(history_by_date=by_date)
@@ -231,12 +240,13 @@ def test_variant_without_history(warehouse, folder):
     assert sizes(warehouse)[0] == 2
 
 
-def test_the_ledger_is_merged_when_it_has_many_folders(warehouse, folder, monkeypatch):
-    monkeypatch.setattr(ingest, "COMPACT_LEDGER_ABOVE", 2)
+def test_folders_of_many_runs_are_merged(warehouse, folder, monkeypatch):
+    monkeypatch.setattr(ingest, "COMPACT_ABOVE", 2)
     for i in range(4):
         folder.put(name(i), [record(i)])
         ingest_batch(warehouse, folder.landing, NOW + timedelta(minutes=i))
-    assert len(warehouse.folders("ledger")) == 2 and sizes(warehouse) == (4, 4, 4)
+    assert [len(warehouse.folders(t)) for t in ("ledger", "base", "archive")] == [2, 2, 2]
+    assert sizes(warehouse) == (4, 4, 4)
 
 
 def test_log_row_before_a_load(warehouse, folder, spark):

@@ -85,14 +85,22 @@ def test_filters_and_columns_reach_the_scan(loaded):
     assert "ReadSchema: struct<gcs_uri:string>" in text and "raw_data" not in text
 
 
-def test_history_is_compared_on_two_columns(loaded):
-    seen = dedup.seen_keys(
-        loaded.read("base").select("event_date", "hash_fingerprint"),
-        loaded.read("base").select("event_date", "hash_fingerprint"),
-    )
-    text = plan(seen)
+@pytest.mark.parametrize("small", [True, False])
+def test_history_is_compared_on_two_columns(loaded, small):
+    spark = loaded.spark
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(dedup.seen_keys(loaded.read("base"), loaded.read("base"), small_batch=small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert text.count("ReadSchema: struct<hash_fingerprint:string>") == 2
-    assert "LeftSemi" in text
+    assert ("BroadcastHashJoin LeftSemi" if small else "SortMergeJoin LeftSemi") in text
+
+
+def test_rows_without_key_are_ruled_out_by_statistics(loaded):
+    text = plan(dedup.dedup_base(loaded.read("base")))
+    assert "PushedFilters: [IsNull(hash_code), IsNull(hash_fingerprint)]" in text
 
 
 def test_only_pending_files_are_read(spark, folder):

@@ -127,8 +127,19 @@ def test_compaction_merges_crowded_dates(spark, warehouse):
     assert users(warehouse.read("base")) == [0, 1, 2, 3, 9]
     assert sorted(warehouse.folders("base")) == [
         "base/batch=b9/event_date=2026-02-01",
-        "base/batch=c1/event_date=2026-01-28",
+        "base/batch=c1-merged/event_date=2026-01-28",
     ]
+    assert warehouse.compact("base", "c2", max_folders=1).added == []
+
+
+def test_the_newest_folders_suffice_for_the_latest_rows(spark, warehouse):
+    for n, day in ((1, "2026-01-01"), (2, "2026-01-02"), (3, "2026-01-03"), (4, "bad")):
+        time = day if day == "bad" else f"{day}T00:00:00Z"
+        warehouse.append("base", parsed(spark, [n], EventDt=time), f"b{n}")
+    assert users(warehouse.read_newest("base", 1)) == [3]
+    assert users(warehouse.read_newest("base", 2)) == [2, 3]
+    assert users(warehouse.read_newest("base", 9)) == [1, 2, 3, 4]
+    assert warehouse.read_newest("archive", 5).count() == 0
 
 
 def test_listing_and_storage(spark, warehouse):

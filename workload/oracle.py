@@ -415,26 +415,27 @@ def all_sql() -> dict[str, str]:
             ORDER BY archived_timestamp DESC, gcs_uri, raw_json LIMIT 10"""
         ),
         "r18_heartbeat": _sql(
-            """SELECT now AS check_time, done AS files_processed_last_hour,
+            """SELECT (SELECT now FROM clock) AS check_time, done AS files_processed_last_hour,
               pending AS files_pending,
               CASE WHEN done = 0 AND pending > 0 THEN 'ALERT: Pipeline may be stuck!'
                 ELSE 'OK' END AS status
-            FROM (SELECT now, count(*) FILTER (processed_timestamp >= now - INTERVAL 1 HOUR) AS done,
-                (SELECT count(*) FROM waiting) AS pending FROM ledger, clock GROUP BY now)"""
+            FROM (SELECT count(*) FILTER (processed_timestamp >= now - INTERVAL 1 HOUR) AS done,
+                (SELECT count(*) FROM waiting) AS pending FROM ledger, clock)"""
         ),
         "r19_processing_latency": _sql(
-            """SELECT now AS check_time, avg(d) AS avg_latency_minutes, max(d) AS max_latency_minutes,
+            """SELECT (SELECT now FROM clock) AS check_time, avg(d) AS avg_latency_minutes, max(d) AS max_latency_minutes,
               count(*) FILTER (d > 15) AS files_over_15min,
               CASE WHEN max(d) > 15 THEN 'WARNING: High latency detected' ELSE 'OK' END AS status
-            FROM delays GROUP BY now""",
-            delays=f"""SELECT now, {_minutes(FILE_TIME, 'processed_timestamp')} AS d FROM day""",
+            FROM delays""",
+            delays=f"""SELECT {_minutes(FILE_TIME, 'processed_timestamp')} AS d FROM day""",
         ),
         "r20_error_rate": _sql(
-            f"""SELECT now AS check_time, count(*) AS total_processed_24h, {STATUS_COUNTS},
-              round(100.0 * count(*) FILTER (status <> 'SUCCESS') / count(*), 2) AS error_rate_pct,
+            f"""SELECT (SELECT now FROM clock) AS check_time, count(*) AS total_processed_24h, {STATUS_COUNTS},
+              round(100.0 * count(*) FILTER (status <> 'SUCCESS') / nullif(count(*), 0), 2)
+                AS error_rate_pct,
               CASE WHEN avg(CASE WHEN status = 'SUCCESS' THEN 0 ELSE 1 END) > 0.05
                 THEN 'ALERT: Error rate exceeds 5%!' ELSE 'OK' END AS status
-            FROM day GROUP BY now"""
+            FROM day"""
         ),
         "r21_volume_anomaly": _sql(
             """SELECT now AS check_time, CAST(d.day AS VARCHAR) AS processing_date, d.n AS today_rows,
@@ -456,13 +457,12 @@ def all_sql() -> dict[str, str]:
               FROM ledger, clock WHERE processed_timestamp >= now - INTERVAL 8 DAYS GROUP BY 1""",
         ),
         "r22_stale_files": _sql(
-            """SELECT now AS check_time, count(*) FILTER (age > 30) AS stale_file_count,
+            """SELECT (SELECT now FROM clock) AS check_time, count(*) FILTER (age > 30) AS stale_file_count,
               count(*) AS pending_count, max(age) AS oldest_pending_minutes,
               (SELECT string_agg(gcs_uri, ',' ORDER BY file_time, gcs_uri) FROM
                 (SELECT * FROM waiting ORDER BY file_time, gcs_uri LIMIT 5)) AS sample_stale_files,
               CASE WHEN max(age) > 30 THEN 'ALERT: Stale files detected!' ELSE 'OK' END AS status
-            FROM (SELECT now, date_sub('minute', file_time, now) AS age FROM waiting, clock)
-            GROUP BY now"""
+            FROM (SELECT date_sub('minute', file_time, now) AS age FROM waiting, clock)"""
         ),
         "r24_dashboard": _sql(
             """SELECT 'Pipeline Health Dashboard' AS report, now AS generated_at,

@@ -217,13 +217,15 @@ def _pending_rows(s: Stored) -> DataFrame:
 @query
 def dedup_history(spark, sf_dir):
     s = stored(spark, sf_dir)
-    return dedup.drop_history(_pending_rows(s), s.base).drop("event_date")
+    scratch = shared_folder(spark, "seen")
+    return dedup.drop_history(_pending_rows(s), s.base, scratch).drop("event_date")
 
 
 @query
 def dedup_history_any_date(spark, sf_dir):
     s = stored(spark, sf_dir)
-    return dedup.drop_history(_pending_rows(s), s.base, by_date=False).drop("event_date")
+    scratch = shared_folder(spark, "seen")
+    return dedup.drop_history(_pending_rows(s), s.base, scratch, by_date=False).drop("event_date")
 
 
 @query
@@ -492,7 +494,7 @@ def r14_action_mix(spark, sf_dir):
 
 @query
 def r15_latest_events(spark, sf_dir):
-    return business.latest_events(stored(spark, sf_dir).base)
+    return business.latest_events(stored(spark, sf_dir).warehouse.read_newest("base", 20))
 
 
 @query
@@ -503,7 +505,7 @@ def r16_archive_completeness(spark, sf_dir):
 
 @query
 def r17_archive_validity(spark, sf_dir):
-    return quality.archive_validity(stored(spark, sf_dir).archive)
+    return quality.archive_validity(stored(spark, sf_dir).warehouse.read_newest("archive", 10))
 
 
 @query
