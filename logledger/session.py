@@ -52,6 +52,8 @@ def local_session(
         # Small data: tasks of a few MB keep all cores busy in rebalanced writes.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .config("spark.sql.files.openCostInBytes", "128k")
+        # One listing task per core, not per folder.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

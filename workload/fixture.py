@@ -19,6 +19,7 @@ from logledger.session import configure
 from logledger.sources.files import shared_folder
 from logledger.sources.warehouse import Warehouse
 
+FULL_SPLIT = 128 * 1024**2
 ROOT = "mem://bucket/logs/"
 
 FILES = """
@@ -110,16 +111,20 @@ def lines_sql(dialect: dict[str, str]) -> str:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    # A small table is one file that cannot be split: spread it over the cores. A large one
-    # has splits enough and is not shuffled.
+    # A small table is one file with one row group, which one task reads: spread it over the
+    # cores. A table of at least one full split per core is left as it is.
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return rows.repartition(cores) if size < cores * FULL_SPLIT else rows
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_no, slot, file_ts, gcs_uri, data) of every line of every file."""
     events(spark, sf_dir).createOrReplaceTempView("workload_events")
     lines = spark.sql(lines_sql(SPARK))
+    # A generator keeps filters on the line from repeating the making of the line below it:
+    # to the queries it shall be like a scanned column.
+    lines = lines.withColumn("data", F.explode(F.array("data")))
     return lines.withColumn("file_ts", F.col("file_ts").cast("timestamp"))
 
 
