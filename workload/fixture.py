@@ -137,7 +137,8 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def now_of(spark: SparkSession, sf_dir: str) -> datetime:
     """The moment all reports refer to: the second of the last event."""
-    return events(spark, sf_dir).agg(F.date_trunc("second", F.max("ts"))).first()[0]
+    last = F.date_trunc("second", F.max("ts")).cast("timestamp_ntz")
+    return events(spark, sf_dir).agg(last).first()[0]
 
 
 def is_processed() -> F.Column:
