@@ -52,10 +52,12 @@ class FileSystem:
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for run-scoped data: below ``spark.checkpoint.dir``, which a cluster
-    names as its shared folder. Only where that is unset (tests, one machine) a local
-    temporary folder is used."""
+    names as its shared folder. Only in a session on one machine a local temporary folder
+    may take its place; elsewhere executors would each write to a disk of their own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return tempfile.mkdtemp(prefix=f"logledger-{purpose}-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        return "file:" + tempfile.mkdtemp(prefix=f"logledger-{purpose}-") + "/data"
     unique = spark._jvm.java.util.UUID.randomUUID().toString()
     return f"{shared.rstrip('/')}/logledger-{purpose}-{unique}"
