@@ -50,19 +50,21 @@ def with_stats(docs: DataFrame, text: str = "text", into: str = "stats") -> Data
         lines, F.filter(F.split(col(t), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     )
     size = F.size(words)
-    starts = F.when(size >= WINDOW, F.sequence(F.lit(1), size - (WINDOW - 1)))
+    starts = F.when(size >= WINDOW, F.sequence(F.lit(0), size - WINDOW))
     rows = rows.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
     rows = rows.withColumn(
         hashes,
         F.transform(
-            starts, lambda i: F.xxhash64(*[F.get(col(hashes), i + k - 1) for k in range(WINDOW)])
+            starts, lambda i: F.xxhash64(*[F.get(col(hashes), i + k) for k in range(WINDOW)])
         ),
     )
     # Different hashes prove different windows. Only texts with equal hashes (few) go on to
     # compare the windows themselves: sorted, equal ones are neighbours.
     again = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    # (slice() would copy the whole array for each window.)
     gram = lambda i: F.struct(
-        F.concat_ws(" ", F.slice(col(words), i, WINDOW)).alias("g"), i.alias("i")
+        F.concat_ws(" ", *[F.get(col(words), i + k) for k in range(WINDOW)]).alias("g"),
+        i.alias("i"),
     )
     rows = rows.withColumn(grams, F.when(again, F.sort_array(F.transform(starts, gram))))
     same = lambda x, k: F.coalesce(F.get(col(grams), k)["g"] == x["g"], F.lit(False))
