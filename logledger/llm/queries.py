@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logledger.llm import decontaminate
+from logledger.llm.packing import packing_digest
 from logledger.llm.quality_rules import quality_verdicts
 from logledger.llm.simhash import near_duplicates
+from logledger.llm.token_files import token_file_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,10 +28,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digest(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()
