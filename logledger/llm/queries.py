@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logledger.llm import decontaminate
+from logledger.llm import chat, decontaminate, warc
 from logledger.llm.packing import packing_digest
 from logledger.llm.quality_rules import quality_verdicts
 from logledger.llm.simhash import near_duplicates
@@ -28,6 +28,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digest(table(spark, sf_dir, "conversations"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_digest(table(spark, sf_dir, "pages"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()
@@ -47,4 +55,8 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontaminate.SQL}
+    return {
+        "op1_decontamination": decontaminate.SQL,
+        "op3_chat": chat.SQL,
+        "op9_warc": warc.SQL,
+    }
