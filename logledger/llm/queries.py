@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logledger.llm import chat, decontaminate, warc
 from logledger.llm.packing import packing_digest
 from logledger.llm.quality_rules import quality_verdicts
+from logledger.llm.secrets import find_secrets
 from logledger.llm.simhash import near_duplicates
 from logledger.llm.token_files import token_file_digest
 
@@ -48,6 +49,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_digest(table(spark, sf_dir, "pages"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents")).drop("span_list")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()
