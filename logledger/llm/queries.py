@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logledger.llm import chat, decontaminate, warc
+from logledger.llm import chat, decontaminate, hosts, warc
 from logledger.llm.packing import packing_digest
 from logledger.llm.quality_rules import quality_verdicts
 from logledger.llm.secrets import find_secrets
@@ -41,6 +41,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hosts.judge_urls(table(spark, sf_dir, "pages"), hosts.rule_table(spark))
+    return judged.drop("trust", "distrust")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"))
 
@@ -63,5 +68,6 @@ def llm_sql() -> dict[str, str]:
     return {
         "op1_decontamination": decontaminate.SQL,
         "op3_chat": chat.SQL,
+        "op6_url_filter": hosts.sql(),
         "op9_warc": warc.SQL,
     }
