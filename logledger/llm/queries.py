@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logledger.llm import chat, decontaminate, hosts, warc
 from logledger.llm.packing import packing_digest
 from logledger.llm.quality_rules import quality_verdicts
+from logledger.llm.repeats import repeats_digest
 from logledger.llm.secrets import find_secrets
 from logledger.llm.simhash import near_duplicates
 from logledger.llm.token_files import token_file_digest
@@ -46,6 +47,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("trust", "distrust")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(table(spark, sf_dir, "documents"))
 
