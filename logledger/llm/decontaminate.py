@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logledger.llm.staging import free_name, stored
+from logledger.llm.staging import free_name, stored, with_fixed
 
 WINDOW = 10
 SHINGLE = 3
@@ -154,7 +154,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame
         c["length"] == WINDOW,
         _phrase([F.get(F.col("w"), c["start"] + k) for k in range(WINDOW)]) == c["window"],
     ).otherwise(same(c))
-    rows = rows.select("digest", F.filter("found", usual).alias("found"))
+    rows = with_fixed(rows, "real", F.filter("found", usual)).select(
+        "digest", F.col("real").alias("found")
+    )
     covered = F.aggregate(
         "found",
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end")),

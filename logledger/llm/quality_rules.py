@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logledger.llm.staging import free_name, stored
+from logledger.llm.staging import free_name, stored, with_fixed
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -324,7 +324,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that no rule rejects, with all their columns."""
     stats = with_stats(docs.select("doc_id", "text")).select("doc_id", "stats")
     rules = learn(label_rows(stats, labels))
-    own = free_name(docs, "_stats")
+    own, flag = free_name(docs, "_stats"), free_name(docs, "_rejected")
     s = F.col(own)
     rejected = base_failed(s) | (rules.number(features(s)) > 0)
-    return with_stats(docs, into=own).filter(~rejected).drop(own)
+    rows = with_fixed(with_stats(docs, into=own), flag, rejected)
+    return rows.filter(~F.col(flag)).drop(own, flag)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logledger.sources.files import shared_folder
 
@@ -26,6 +27,12 @@ def free_name(frame: DataFrame, name: str) -> str:
     return name
 
 
+def with_fixed(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once: it comes out of a generator, so that no filter on
+    it is pushed below with the whole expression in it, to be computed again per element."""
+    return frame.select("*", F.explode(F.array(value)).alias(name))
+
+
 def text_batches(spark: SparkSession) -> None:
     """Bounds the memory of Python workers by small Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
