@@ -24,12 +24,21 @@ _ARRAY = f"""from_json(concat('[', data, ',{{"__end":"1"}}]'), '{_SHAPE}',
 _WHOLE = f"transform(array({_ARRAY}), a -> IF(size(a) = 2 AND a[1].__end = '1', a[0], NULL))"
 
 
+def _composite(key: str) -> str:
+    """The same test for objects that name a key twice, which have no variant form."""
+    kinds = " OR ".join(
+        f"from_json(data, '`{key}` {kind}').{key} IS NOT NULL"
+        for kind in ("map<string,string>", "array<string>")
+    )
+    return f"try_parse_json(data) IS NULL AND ({kinds})"
+
+
 def _scalar(key: str) -> str:
     """A field unless it is an object or array. The text of one and that of a string holding
     the same characters look alike, so a value that opens with a bracket is looked up again
     with its JSON type."""
     found = f"try_variant_get(try_parse_json(data), '$.{key}', 'variant')"
-    nested = f"coalesce(rlike(schema_of_variant({found}), '^(OBJECT|ARRAY)'), false)"
+    nested = f"coalesce(rlike(schema_of_variant({found}), '^(OBJECT|ARRAY)'), {_composite(key)})"
     opens = f"startswith(r.{key}, '{{') OR startswith(r.{key}, '[')"
     return f"'{key}', CASE WHEN {opens} THEN IF({nested}, NULL, r.{key}) ELSE r.{key} END"
 
@@ -57,6 +66,13 @@ def each_record_lenient() -> Column:
 
 
 def is_json(text: Column) -> Column:
-    """Whether a text is one complete JSON value of any kind."""
-    closed = F.concat(F.lit("["), text, F.lit("]"))
-    return F.coalesce(F.json_array_length(closed) == 1, F.lit(False))
+    """Whether a text is one complete JSON value of any kind. It is read as the first of two
+    elements; only if it is a whole value is the second one the end mark. The mark contains a
+    digest of the text, so no text can hold its own mark."""
+    mark = F.concat(F.lit("end:"), F.md5(text))
+    both = F.from_json(
+        F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')),
+        "array<string>",
+        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
+    )
+    return F.coalesce((F.size(both) == 2) & (F.get(both, 1) == mark), F.lit(False))

@@ -123,8 +123,13 @@ def latest_rows(ledger: DataFrame) -> DataFrame:
 
 def repeated_files(ledger: DataFrame) -> DataFrame:
     """Files with several ledger rows, and when they were processed."""
-    grouped = ledger.groupBy("gcs_uri").agg(
-        F.count("*").alias("times_processed"),
-        F.array_sort(F.collect_list("processed_timestamp")).alias("processing_times"),
+    # Times are gathered for repeated files only.
+    repeated = ledger.groupBy("gcs_uri").agg(F.count("*").alias("n")).filter("n > 1")
+    return (
+        ledger.join(repeated.select("gcs_uri"), "gcs_uri", "left_semi")
+        .groupBy("gcs_uri")
+        .agg(
+            F.count("*").alias("times_processed"),
+            F.array_sort(F.collect_list("processed_timestamp")).alias("processing_times"),
+        )
     )
-    return grouped.filter("times_processed > 1")

@@ -11,7 +11,8 @@ from __future__ import annotations
 import contextlib
 import time
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
+from hashlib import sha256
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
@@ -56,9 +57,12 @@ def load_files(
         if options.within_batch:
             rows = dedup.first_in_batch(warehouse.read_folders("base", base.added))
             base = warehouse.stage("base", rows, f"{batch}-once")
+            # The run's earlier loads are part of the same batch to this option.
+            same = _run_folders(warehouse, base, run or batch, options.history_by_date)
+            base = _without(warehouse, base, same, f"{batch}-run", options.history_by_date)
         if options.dedup_history and options.fingerprint_keys:
             past = _history_folders(warehouse, base, run or batch, options.history_by_date)
-            base = _without_history(warehouse, base, past, batch, options.history_by_date)
+            base = _without(warehouse, base, past, batch, options.history_by_date)
         rows = warehouse.read_folders("base", base.added)
         loaded = lg.rows_per_file(rows, "rows_loaded")
         if options.count_rows:
@@ -67,7 +71,15 @@ def load_files(
         else:
             new = lg.uncounted_rows(files, loaded, run_ts)
         ledger = warehouse.stage("ledger", new, batch)
-        warehouse.commit(archive, base, ledger, based_on=based_on)
+        compared = options.within_batch or (options.dedup_history and options.fingerprint_keys)
+        warehouse.commit(
+            archive,
+            base,
+            ledger,
+            based_on=based_on,
+            reads=("base", "ledger") if compared else ("ledger",),
+            clash=_load_clash(warehouse, files, base, options.history_by_date),
+        )
         if base is parsed:
             return 0
         return warehouse.read_folders("base", parsed.added).count() - rows.count()
@@ -80,6 +92,24 @@ def load_files(
         raise
 
 
+def _load_clash(
+    warehouse: Warehouse, files: DataFrame, base: Change, by_date: bool
+) -> Callable[[str, list[str], list[str]], bool]:
+    """What another writer may not have done since a load began: removed rows, loaded one of
+    its files, or loaded rows of dates it was compared with."""
+    dates = {partition_date(f) for f in base.added}
+
+    def clash(table: str, added: list[str], removed: list[str]) -> bool:
+        if removed:
+            return True
+        if table == "base":
+            return any(not by_date or partition_date(f) in dates for f in added)
+        theirs = warehouse.read_folders(table, added).select("gcs_uri")
+        return not files.join(theirs, "gcs_uri", "left_semi").isEmpty()
+
+    return clash
+
+
 def _history_folders(
     warehouse: Warehouse, base: Change, run: str, by_date: bool
 ) -> list[str]:
@@ -88,10 +118,16 @@ def _history_folders(
     return [f for f in warehouse.folders("base", dates) if f"batch={run}" not in f]
 
 
-def _without_history(
+def _run_folders(warehouse: Warehouse, base: Change, run: str, by_date: bool) -> list[str]:
+    """Base folders of earlier loads of the same run."""
+    dates = {partition_date(f) for f in base.added} if by_date else None
+    return [f for f in warehouse.folders("base", dates) if f"batch={run}" in f]
+
+
+def _without(
     warehouse: Warehouse, base: Change, past: list[str], batch: str, by_date: bool
 ) -> Change:
-    """Drops staged rows that history holds. The staged batch lies on disk by date, so only
+    """Drops staged rows that past folders hold. The staged batch lies on disk by date, so only
     two columns of it and of history are compared, and only dates that hold a seen row are
     written again."""
     if not past or not base.added:
@@ -123,10 +159,12 @@ def _date_or_none(value: str | None) -> str | None:
 def run_summary(
     warehouse: Warehouse, now: datetime | Column, files_processed: int, duplicates: int = 0
 ) -> DataFrame:
-    """Summary row of a run. Rows of the last hour come from the base table; min/max of
-    ``load_time_dt`` rules out all older files."""
+    """Summary row of a run. Rows of the last hour come from the base table; of that, only
+    folders written since then are listed and opened."""
+    since = now - timedelta(hours=1) if isinstance(now, datetime) else None
     now = v.instant(now)
-    recent = warehouse.read("base").filter(F.col("load_time_dt") >= v.before(now, 1, "HOURS"))
+    recent = warehouse.read_folders("base", warehouse.folders_since("base", since))
+    recent = recent.filter(F.col("load_time_dt") >= v.before(now, 1, "HOURS"))
     return recent.agg(F.count("*").alias("rows_loaded_last_hour")).select(
         F.lit("ETL Complete").alias("status"),
         now.alias("completed_at"),
@@ -159,17 +197,18 @@ def ingest_batch(
     """
     spark = warehouse.spark
     started = time.monotonic()
-    run = f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
+    scope = "batch-" + sha256("\n".join(landing.paths).encode()).hexdigest()[:16]
+    run = open_run(warehouse, scope, now)
     files, duplicates = 0, 0
     for attempt in range(attempts):
-        folder = f"{warehouse.root}/_runs/{run}/pending-{attempt}"
+        folder = f"{warehouse.root}/_runs/{run}/pending-{uuid4().hex[:8]}"
         found = landing.new_files(spark, warehouse.read("ledger"))
         pending = dedup.stored(found, folder)
         try:
             for number, wave in enumerate(landing.waves(pending)):
                 if log:
                     log(f"loading {wave.count} files at {now}")
-                batch = f"{run}-{attempt}-{number}"
+                batch = f"{run}-{uuid4().hex[:8]}-{number}"
                 duplicates += load_files(
                     warehouse, wave.files, wave.lines, now, batch, options, run, started
                 )
@@ -179,10 +218,27 @@ def ingest_batch(
             # Another writer came first. What it loaded is in the ledger now.
             if attempt == attempts - 1:
                 raise
+    close_run(warehouse, scope, run)
     tidy(warehouse, run)
     return run_summary(warehouse, now, files, duplicates)
 
 
+def open_run(warehouse: Warehouse, scope: str, now: datetime) -> str:
+    """Name of the run in progress for a scope. A run that broke off goes on under its name,
+    so that what it has loaded already is no history to the rest."""
+    marker = f"{warehouse.root}/_runs/open-{scope}"
+    warehouse.files.create(marker, f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}")
+    return warehouse.files.read(marker)
+
+
+def close_run(warehouse: Warehouse, scope: str, run: str) -> None:
+    """Ends a run that is complete and removes its run-scoped tables."""
+    warehouse.files.delete(f"{warehouse.root}/_runs/open-{scope}")
+    for name in warehouse.files.children(f"{warehouse.root}/_runs"):
+        if name.startswith(run):
+            warehouse.files.delete(f"{warehouse.root}/_runs/{name}")
+
+
 def tidy(warehouse: Warehouse, run: str) -> None:
     """Merges folders where many runs have left many. Not urgent: if another writer commits
     meanwhile, the next run does it."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from datetime import datetime
 from uuid import uuid4
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from logledger.plans.reports.health import latest_alert, monitoring_snapshot
 from logledger.sources.landing import Landing
-from logledger.sources.warehouse import Warehouse
+from logledger.sources.warehouse import VersionConflict, Warehouse
 
 
 def record_snapshot(warehouse: Warehouse, landing: Landing, now: datetime) -> DataFrame:
@@ -18,5 +19,8 @@ def record_snapshot(warehouse: Warehouse, landing: Landing, now: datetime) -> Da
     row = monitoring_snapshot(files, warehouse.read("ledger"), now)
     name = f"check-{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
     warehouse.append("monitoring", row, name)
-    warehouse.commit_if_any(warehouse.compact("monitoring", name))
+    based_on = warehouse.version()
+    # Merging is not urgent: if another check merges meanwhile, its result stands.
+    with contextlib.suppress(VersionConflict):
+        warehouse.commit_if_any(warehouse.compact("monitoring", name), based_on=based_on)
     return latest_alert(warehouse.read("monitoring"))

@@ -34,7 +34,7 @@ def _forget(warehouse: Warehouse, what: str, where: Column) -> int:
     batch = _batch(what)
     keys = warehouse.read("ledger").filter(where).select("gcs_uri")
     changes = [warehouse.deletion(t, batch, keys=keys) for t in ("base", "ledger")]
-    return warehouse.commit(*changes, based_on=based_on)
+    return warehouse.commit(*changes, based_on=based_on, reads=("base", "ledger"))
 
 
 def reprocess_file(warehouse: Warehouse, uri: str) -> int:
@@ -43,7 +43,7 @@ def reprocess_file(warehouse: Warehouse, uri: str) -> int:
     batch = _batch("file")
     same = F.col("gcs_uri") == uri
     changes = [warehouse.deletion(t, batch, where=same) for t in ("ledger", "base")]
-    return warehouse.commit(*changes, based_on=based_on)
+    return warehouse.commit(*changes, based_on=based_on, reads=("base", "ledger"))
 
 
 def reprocess_unfinished(warehouse: Warehouse, statuses: Sequence[str] = UNFINISHED) -> int:
@@ -63,13 +63,14 @@ def full_reload(warehouse: Warehouse) -> int:
     """Empties ledger and base; every raw file is pending again."""
     based_on = warehouse.version()
     changes = [warehouse.truncation(t) for t in ("ledger", "base")]
-    return warehouse.commit(*changes, based_on=based_on)
+    return warehouse.commit(*changes, based_on=based_on, reads=("base", "ledger"))
 
 
 def drop_superseded_ledger_rows(warehouse: Warehouse) -> int:
     """Keeps the newest ledger row of each file."""
+    based_on = warehouse.version()
     kept = lg.latest_rows(warehouse.read("ledger"))
-    return warehouse.replace("ledger", kept, _batch("latest"))
+    return warehouse.replace("ledger", kept, _batch("latest"), based_on)
 
 
 def deduplicate_base(warehouse: Warehouse) -> int:

@@ -6,6 +6,7 @@ Only names and pointer texts pass through here, never rows.
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -13,6 +14,7 @@ from pyspark.sql import SparkSession
 class FileSystem:
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsc.hadoopConfiguration()
         self._fs = self._path(root).getFileSystem(self._conf)
 
@@ -29,19 +31,46 @@ class FileSystem:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
 
     def create(self, path: str, text: str) -> bool:
-        """Writes a new file; False if the file is already there."""
+        """Writes a new file that appears whole or not at all; False if it is already there.
+
+        The text goes to a name of its own first and is then renamed without overwriting.
+        HDFS and the local file system do that in one step. On an object store whose
+        renaming is copying, keep the tables' root on a store that offers atomic rename."""
+        jvm = self._jvm
+        target = self._path(path)
+        draft = self._path(f"{target.getParent()}/.draft-{uuid4().hex}")
+        out = self._fs.create(draft, False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self._fs.makeQualified(target).toUri(), self._conf
+        )
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        never_overwrite = self._gateway.new_array(kind, 0)
         try:
-            out = self._fs.create(self._path(path), False)
+            context.rename(
+                self._fs.makeQualified(draft), self._fs.makeQualified(target), never_overwrite
+            )
         except Exception:
+            self._fs.delete(draft, False)
             if self.exists(path):
                 return False
             raise
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
         return True
 
+    def delete(self, path: str) -> None:
+        """Removes a file or a folder with all it holds, if it is there."""
+        self._fs.delete(self._path(path), True)
+
+    def size(self, path: str) -> int:
+        return self._fs.getFileStatus(self._path(path)).getLen()
+
+    def age_hours(self, path: str) -> float:
+        changed = self._fs.getFileStatus(self._path(path)).getModificationTime()
+        return (self._jvm.java.lang.System.currentTimeMillis() - changed) / 3.6e6
+
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

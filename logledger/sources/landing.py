@@ -9,7 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logledger.operators.dedup import stored
 from logledger.operators.ledger import not_in_ledger
+from logledger.sources.files import shared_folder
 
 
 @dataclass(frozen=True)
@@ -98,10 +100,14 @@ class Landing:
             math.ceil(files / self.files_per_wave), math.ceil(size / self.bytes_per_wave)
         )
         lines = self.lines(spark) if count else None
+        if count > 1:
+            # In the order of their names, so that the copy an option keeps is the same.
+            pending = pending.repartitionByRange(count, "gcs_uri").withColumn(
+                "wave", F.spark_partition_id()
+            )
+            pending = stored(pending, f"{shared_folder(spark, 'waves')}")
         for number in range(count):
-            wave = pending
-            if count > 1:
-                wave = pending.filter(F.pmod(F.xxhash64("gcs_uri"), F.lit(count)) == number)
+            wave = pending.filter(F.col("wave") == number) if count > 1 else pending
             names = [r[0] for r in wave.select("gcs_uri").collect()]
             if names:
                 yield Wave(len(names), wave.select("gcs_uri"), lines.filter(_one_of(names)))

@@ -11,8 +11,10 @@ in. A lakehouse format can replace this class behind the same methods.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import re
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +27,7 @@ from logledger.sources.files import FileSystem
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 _BATCH = "batch"
 _MERGED = "-merged"
+_STAMP = re.compile(r"/batch=(\d{8}T\d{6})-")
 
 
 class VersionConflict(RuntimeError):
@@ -55,6 +58,9 @@ class Warehouse:
     def version(self) -> int:
         """Newest version number, -1 before ``create``."""
         names = [n for n in self.files.children(f"{self.root}/_versions") if n.isdigit()]
+        # An empty file is what a writer without atomic renaming may leave: it never counted.
+        while names and not self.files.size(self._version_file(int(names[-1]))):
+            self.files.delete(self._version_file(int(names.pop())))
         return int(names[-1]) if names else -1
 
     def state(self, version: int | None = None) -> dict:
@@ -71,18 +77,46 @@ class Warehouse:
             raise VersionConflict(f"version {version} exists already")
         return version
 
-    def commit(self, *changes: Change, based_on: int | None = None) -> int:
-        """Applies the changes as one new version. ``based_on`` is the version the caller
-        read from; a newer one means that another writer was faster."""
-        newest = self.version()
-        if based_on is not None and newest != based_on:
-            raise VersionConflict(f"version {newest} is newer than {based_on}")
-        state = self.state(newest)
-        for change in changes:
-            entry = state["tables"][change.table]
-            gone = set(change.removed)
-            entry["folders"] = [f for f in entry["folders"] if f not in gone] + change.added
-        return self._write_state(state, newest + 1)
+    def commit(
+        self,
+        *changes: Change,
+        based_on: int | None = None,
+        reads: Iterable[str] | None = None,
+        clash: Callable[[str, list[str], list[str]], bool] | None = None,
+    ) -> int:
+        """Applies the changes as one new version, on top of whatever is newest by then.
+
+        based_on  the version the caller read from; None if the changes depend on nothing
+        reads     the tables they depend on (the changed ones, unless given): if one of them
+                  differs from ``based_on``, another writer was faster. Commits to other
+                  tables are no conflict.
+        clash     called for a table that differs, with the folders added and removed since:
+                  whether that matters to the changes
+        """
+        changes = tuple(c for c in changes if c.added or c.removed)
+        reads = {c.table for c in changes} if reads is None else set(reads)
+        while True:
+            newest = self.version()
+            state = self.state(newest)
+            if based_on is not None and newest != based_on:
+                before = self.state(based_on)
+                for table in sorted(reads):
+                    old = before["tables"][table]["folders"]
+                    new = state["tables"][table]["folders"]
+                    added = [f for f in new if f not in set(old)]
+                    removed = [f for f in old if f not in set(new)]
+                    if (added or removed) and (clash is None or clash(table, added, removed)):
+                        raise VersionConflict(f"{table} changed since version {based_on}")
+            for change in changes:
+                entry = state["tables"][change.table]
+                gone = set(change.removed)
+                if not gone <= set(entry["folders"]):
+                    raise VersionConflict(f"folders of {change.table} are gone")
+                entry["folders"] = [f for f in entry["folders"] if f not in gone] + change.added
+            try:
+                return self._write_state(state, newest + 1)
+            except VersionConflict:
+                continue  # someone took this number: look at what is newest now
 
     def commit_if_any(self, *changes: Change, based_on: int | None = None) -> int:
         """Like commit, but leaves the version alone if nothing changes."""
@@ -93,6 +127,18 @@ class Warehouse:
 
     def create(self) -> Warehouse:
         """Creates the tables that do not exist yet."""
+        return self._again(self._create)
+
+    def _again(self, change: Callable[[], object]) -> Warehouse:
+        """Repeats a change of table definitions until no one else takes its number."""
+        while True:
+            try:
+                change()
+                return self
+            except VersionConflict:
+                continue
+
+    def _create(self) -> None:
         newest = self.version()
         state = self.state(newest) if newest >= 0 else {"tables": {}}
         missing = [t for t in TABLES.values() if t.name not in state["tables"]]
@@ -104,13 +150,15 @@ class Warehouse:
             }
         if missing:
             self._write_state(state, newest + 1)
-        return self
 
     def schema(self, table: str) -> StructType:
         return StructType.fromJson(self.state()["tables"][table]["schema"])
 
     def add_column(self, table: str, column: StructField) -> None:
         """Adds a nullable column if it is missing; old rows read as NULL there."""
+        self._again(lambda: self._add_column(table, column))
+
+    def _add_column(self, table: str, column: StructField) -> None:
         newest = self.version()
         state = self.state(newest)
         entry = state["tables"][table]
@@ -141,6 +189,16 @@ class Warehouse:
         wanted = set(dates)
         return [f for f in live if partition_date(f) in wanted]
 
+    def folders_since(self, table: str, since: datetime | None) -> list[str]:
+        """Live folders that may hold rows loaded at ``since`` or later: batch names begin
+        with the time of their run; what has no such name is always listed. (Merged folders
+        have the time of the merging run, never an earlier one than their rows.)"""
+        live = self.state()["tables"][table]["folders"]
+        if since is None:
+            return live
+        bound = f"{since:%Y%m%dT%H%M%S}"
+        return [f for f in live if not (m := _STAMP.search(f)) or m[1] >= bound]
+
     def read(self, table: str, dates: Iterable[str] | None = None) -> DataFrame:
         """A table with its columns and, if it is partitioned, its partition date."""
         return self.read_folders(table, self.folders(table, dates))
@@ -211,9 +269,11 @@ class Warehouse:
         change.removed = list(folders)
         return change
 
-    def replace(self, table: str, rows: DataFrame, batch: str) -> int:
-        """CREATE OR REPLACE TABLE AS: the rows become the whole table."""
-        return self.commit(self.replace_rows(table, self.folders(table), rows, batch))
+    def replace(self, table: str, rows: DataFrame, batch: str, based_on: int) -> int:
+        """CREATE OR REPLACE TABLE AS: the rows become the whole table. ``based_on`` is the
+        version from before the rows were read."""
+        old = self.state(based_on)["tables"][table]["folders"]
+        return self.commit(self.replace_rows(table, old, rows, batch), based_on=based_on)
 
     def truncation(self, table: str) -> Change:
         return Change(table, removed=self.folders(table))
@@ -270,6 +330,26 @@ class Warehouse:
         rows = self.read_folders(table, crowded)
         return self.replace_rows(table, crowded, rows, batch + _MERGED)
 
+    def clean(self, keep_versions: int = 1000, min_age_hours: float = 24) -> int:
+        """Removes version files but the newest ``keep_versions``, and batch folders that no
+        kept version lists and that are older than ``min_age_hours`` (younger ones may belong
+        to a load that has not committed yet). Returns how many folders went."""
+        names = [n for n in self.files.children(f"{self.root}/_versions") if n.isdigit()]
+        for name in names[:-keep_versions]:
+            self.files.delete(f"{self.root}/_versions/{name}")
+        live: set[str] = set()
+        for name in names[-keep_versions:]:
+            for entry in json.loads(self.files.read(f"{self.root}/_versions/{name}"))["tables"].values():
+                live.update("/".join(f.split("/")[:2]) for f in entry["folders"])
+        gone = 0
+        for table in TABLES:
+            for name in self.files.children(f"{self.root}/{table}"):
+                folder = f"{self.root}/{table}/{name}"
+                if f"{table}/{name}" not in live and self.files.age_hours(folder) > min_age_hours:
+                    self.files.delete(folder)
+                    gone += 1
+        return gone
+
     # -- size -------------------------------------------------------------------------
 
     def storage(self) -> DataFrame:

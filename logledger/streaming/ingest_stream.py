@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from hashlib import sha256
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logledger.operators.dedup import stored
 from logledger.operators.ledger import not_in_ledger
 from logledger.options import VARIANTS, IngestOptions
-from logledger.plans.ingest import load_files, tidy
+from logledger.plans.ingest import close_run, load_files, open_run, tidy
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import VersionConflict, Warehouse
 
@@ -31,27 +33,32 @@ def load_micro_batch(
     options: IngestOptions,
     clock: Callable[[], datetime],
     attempts: int = 3,
+    run: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch function."""
+    """The foreachBatch function. Micro-batches with a common ``run`` are no history to each
+    other; without one, each trigger is a run of its own."""
 
     def load(lines: DataFrame, epoch: int) -> None:
         for attempt in range(attempts):
+            now = clock()
+            own = run or f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
+            # Streams count their epochs alike: no two loads may share a name.
+            batch = f"{own}-{uuid4().hex[:8]}-{epoch}"
             files = not_in_ledger(lines.select("gcs_uri").distinct(), warehouse.read("ledger"))
             # Which files are new must not change while their load writes ledger rows.
-            folder = f"{warehouse.root}/_runs/stream-{epoch}/files-{attempt}"
-            files = stored(files, folder)
-            if files.isEmpty():
-                return
-            fresh = lines.join(files, "gcs_uri", "left_semi")
-            now = clock()
-            batch = f"stream-{epoch}-{now:%Y%m%dT%H%M%S%f}-{attempt}"
+            files = stored(files, f"{warehouse.root}/_runs/{batch}/files")
             try:
-                load_files(warehouse, files, fresh, now, batch, options)
+                if files.isEmpty():
+                    return
+                fresh = lines.join(files, "gcs_uri", "left_semi")
+                load_files(warehouse, files, fresh, now, batch, options, own)
                 tidy(warehouse, batch)
                 return
             except VersionConflict:
                 if attempt == attempts - 1:
                     raise
+            finally:
+                warehouse.files.delete(f"{warehouse.root}/_runs/{batch}")
 
     return load
 
@@ -64,13 +71,16 @@ def start_stream(
     clock: Callable[[], datetime] = utc_now,
     every: str | None = "30 seconds",
     files_per_trigger: int = 1000,
+    run: str | None = None,
 ) -> StreamingQuery:
     """Starts the stream. ``every=None`` loads what is there and stops: run it from any
-    scheduler for micro-batches every few minutes."""
+    scheduler for micro-batches every few minutes. In a continuous stream each trigger is a
+    run: copies that arrive with different triggers are history to each other, as they are
+    when scheduled runs see them one after the other."""
     lines = landing.stream(warehouse.spark, files_per_trigger)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
-        lines.writeStream.foreachBatch(load_micro_batch(warehouse, options, clock))
+        lines.writeStream.foreachBatch(load_micro_batch(warehouse, options, clock, run=run))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -85,7 +95,14 @@ def run_scheduled(
     clock: Callable[[], datetime] = utc_now,
     files_per_trigger: int = 1000,
 ) -> DataFrame:
-    """One scheduled run: loads all arrived files, returns the ledger."""
-    query = start_stream(warehouse, landing, checkpoint, options, clock, None, files_per_trigger)
+    """One scheduled run: loads all arrived files, returns the ledger. It is one run however
+    many triggers it takes, also if it breaks off and is started again: the name of the run is
+    kept until it is complete."""
+    scope = "stream-" + sha256(checkpoint.encode()).hexdigest()[:16]
+    run = open_run(warehouse, scope, clock())
+    query = start_stream(
+        warehouse, landing, checkpoint, options, clock, None, files_per_trigger, run
+    )
     query.awaitTermination()
+    close_run(warehouse, scope, run)
     return warehouse.read("ledger")

@@ -94,7 +94,8 @@ def test_delete_keeps_rows_whose_condition_is_null(spark, warehouse):
 
 def test_replace_and_truncate(spark, warehouse):
     warehouse.append("base", parsed(spark, [1, 2]), "b1")
-    warehouse.replace("base", warehouse.read("base").filter("user_name = '10002'"), "r1")
+    rows = warehouse.read("base").filter("user_name = '10002'")
+    warehouse.replace("base", rows, "r1", warehouse.version())
     assert users(warehouse.read("base")) == [2]
     warehouse.commit(warehouse.truncation("base"))
     assert warehouse.read("base").count() == 0
