@@ -109,13 +109,11 @@ def _keys_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["key"])
 
 
-def _repeated_map(docs: DataFrame) -> np.ndarray:
-    """Bitmap of anchors that occur more than once: at most 2^MAP_BITS bits reach the driver."""
-    keys = docs.select("text").mapInArrow(_keys_task, "key bigint")
-    twice = keys.groupBy("key").count().filter("count > 1")
+def _map_of(keys: DataFrame) -> np.ndarray:
+    """Bitmap of distinct keys: at most 2^MAP_BITS bits reach the driver."""
     bit = F.col("key").bitwiseAND((1 << MAP_BITS) - 1)
-    words = twice.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(key & 63 as int))")).alias("bits")
+    words = keys.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits")
     )
     table = words.toArrow()
     found = np.zeros(1 << (MAP_BITS - 6), np.uint64)
@@ -123,13 +121,18 @@ def _repeated_map(docs: DataFrame) -> np.ndarray:
     return found
 
 
-_SEGMENTS = "key bigint, class binary, rel int, many int, at bigint, doc bigint, tie bigint, content binary"
+#: ``place`` holds the anchor's place, the windows before it and their number (7 bits each).
+_SEGMENTS = "key bigint, class bigint, place bigint, doc bigint, tie bigint"
 
 
-def _segments_task(marked, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segments_task(
+    marked, with_content: bool, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
     bitmap = marked.value
     names = [c.split()[0] for c in _SEGMENTS.split(", ")]
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64()] * 5
+    if with_content:
+        names, kinds = [*names, "content"], [*kinds, pa.binary()]
     for batch in batches:
         rows: list[tuple] = []
         held = 0
@@ -141,9 +144,11 @@ def _segments_task(marked, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             hit = bitmap[bits >> np.uint64(6)] >> (bits & np.uint64(63)) & np.uint64(1) > 0
             for key, at, start, n in zip(*(x[hit].tolist() for x in (keys, place, first, many)), strict=True):
                 content = data[start : start + n - 1 + WINDOW]
-                name = hashlib.blake2b(bytes([at - start]) + content, digest_size=16).digest()
-                rows.append((key, name, at - start, n, at, doc, tie, content))
-                held += len(content) + 100
+                digest = hashlib.blake2b(bytes([at - start]) + content, digest_size=8).digest()
+                name = int.from_bytes(digest, "little", signed=True)
+                row = (key, name, at << 14 | (at - start) << 7 | n, doc, tie)
+                rows.append((*row, content) if with_content else row)
+                held += len(content)
                 if held > 16 << 20:
                     yield _batch(rows, names, kinds)
                     rows, held = [], 0
@@ -205,7 +210,7 @@ def later_windows(group: np.ndarray, rel: np.ndarray, rank: np.ndarray, contents
     return found
 
 
-_MASKS = "key bigint, class binary, mask bigint"
+_MASKS = "key bigint, class bigint, mask bigint"
 
 
 def _masks_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -215,7 +220,7 @@ def _masks_of(rows: list[tuple]) -> pa.RecordBatch:
     rank[np.lexsort([np.array(x, np.int64) for x in (at, tie, doc)])] = np.arange(len(rows))
     masks = later_windows(group, np.array(rel), rank, list(contents))
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(names, pa.binary()), pa.array(masks)], ["key", "class", "mask"]
+        [pa.array(keys, pa.int64()), pa.array(names, pa.int64()), pa.array(masks)], ["key", "class", "mask"]
     )
 
 
@@ -233,12 +238,12 @@ def _masks_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _masks_of(rows)
 
 
-_WINDOWS = "key bigint, class binary, turn int, place int, window binary, doc bigint, tie bigint, at bigint"
+_WINDOWS = "key bigint, class bigint, turn int, place int, window binary, doc bigint, tie bigint, at bigint"
 
 
 def _windows_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _WINDOWS.split(", ")]
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
         rows = []
         columns = (batch[c].to_pylist() for c in ("key", "class", "rel", "at", "doc", "tie", "content"))
@@ -262,49 +267,73 @@ def _crowded_masks(classes: DataFrame) -> DataFrame:
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, tie, text): doc and tie are never null and give the order."""
+    """(doc_id, doc, tie, text): doc and tie are never null and give the order. The tie is a
+    hash of the text, and 0 if all ids are there and differ."""
     last = (1 << 63) - 1
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    plain = ids.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty()
     doc_id = F.col("doc_id").cast("bigint")
     return docs.select(
         doc_id.alias("doc_id"),
         F.coalesce(doc_id, F.lit(last)).alias("doc"),
-        F.xxhash64("text").alias("tie"),
+        (F.lit(0).cast("bigint") if plain else F.xxhash64("text")).alias("tie"),
         "text",
     )
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc, tie, spans): maximal runs of bytes to remove, for documents that have any."""
-    spark = docs.sparkSession
-    text_batches(spark)
-    rows = _identified(docs)
-    marked = spark.sparkContext.broadcast(_repeated_map(docs))
-    found = stored(rows.select("doc", "tie", "text").mapInArrow(partial(_segments_task, marked), _SEGMENTS), "segments")
-    classes = found.groupBy("key", "class").agg(
-        F.min(F.struct("doc", "tie", "at")).alias("first"),
-        F.first("rel").alias("rel"),
-        F.first("content").alias("content"),
-        F.count("*").alias("n"),
-    )
+def _segments_of(rows: DataFrame, bitmap: np.ndarray, with_content: bool) -> DataFrame:
+    marked = rows.sparkSession.sparkContext.broadcast(bitmap)
+    schema = _SEGMENTS + ", content binary" * with_content
+    texts = rows.select("doc", "tie", "text")
+    return texts.mapInArrow(partial(_segments_task, marked, with_content), schema)
+
+
+def repeated_spans(rows: DataFrame) -> DataFrame:
+    """(doc, tie, spans): maximal runs of bytes to remove, for documents that have any.
+    ``rows`` comes from ``_identified``. The text is read three times, since that is cheaper
+    than to shuffle it: bytes travel only for anchors with more than one class."""
+    text_batches(rows.sparkSession)
+    keys = rows.select("text").mapInArrow(_keys_task, "key bigint")
+    twice = keys.groupBy("key").count().filter("count > 1")
+    found = stored(_segments_of(rows, _map_of(twice), False), "segments")
+    own = F.struct("doc", "tie", "place")
+    classes = found.groupBy("key", "class").agg(F.min(own).alias("first"), F.count("*").alias("n"))
     classes = stored(classes, "classes")
     size = classes.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    many = classes.join(size, "key").select(
-        "key", "class", "rel", "first.at", "first.doc", "first.tie", "content", "size"
+    size = stored(size, "sizes")
+    contents = _segments_of(rows, _map_of(size), True)
+    contents = contents.groupBy("key", "class").agg(
+        F.min(own).alias("first"), F.first("content").alias("content")
+    )
+    many = stored(
+        contents.join(size, "key").select(
+            "key",
+            "class",
+            F.expr("cast(shiftright(first.place, 7) & 127 as int)").alias("rel"),
+            F.shiftright("first.place", 14).alias("at"),
+            "first.doc",
+            "first.tie",
+            "content",
+            "size",
+        ),
+        "contents",
     )
     few = many.filter(F.col("size") <= BATCH).repartition("key").sortWithinPartitions("key")
     masks = few.mapInArrow(_masks_task, _MASKS).unionByName(_crowded_masks(many.filter(F.col("size") > BATCH)))
     masks = stored(masks.filter("mask <> 0"), "masks")
     places = classes.filter("n > 1").select("key", "class", "first").join(masks, ["key", "class"], "full")
     # A class with one place and no mask has nothing to remove and is not in the table.
-    marks = found.select("key", "class", "rel", "many", "at", "doc", "tie").join(places, ["key", "class"])
-    own = F.struct("doc", "tie", "at")
-    start = F.col("at") - F.col("rel")
+    marks = found.join(places, ["key", "class"]).select(
+        "*",
+        F.expr("shiftright(place, 14) - (shiftright(place, 7) & 127)").alias("start"),
+        F.expr("cast(place & 127 as int)").alias("many"),
+    )
     later = marks.filter(own > F.col("first")).select(
-        "doc", "tie", start.alias("start"), (start + F.col("many") - 1 + WINDOW).alias("end")
+        "doc", "tie", "start", (F.col("start") + F.col("many") - 1 + WINDOW).alias("end")
     )
     bits = F.expr("filter(sequence(0, many - 1), i -> shiftright(mask, i) & 1 = 1)")
     earliest = marks.filter("mask IS NOT NULL").filter(F.col("first").isNull() | (own <= F.col("first"))).select(
-        "doc", "tie", start.alias("start"), F.explode(bits).alias("turn")
+        "doc", "tie", "start", F.explode(bits).alias("turn")
     )
     earliest = earliest.select("doc", "tie", (F.col("start") + F.col("turn")).alias("start"), (F.col("start") + F.col("turn") + WINDOW).alias("end"))
     joined = F.aggregate(
@@ -351,11 +380,12 @@ def _kept_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text, spans): every document with what is to be removed from it."""
-    spans = stored(repeated_spans(docs), "spans")
+    rows = _identified(docs)
+    spans = stored(repeated_spans(rows), "spans")
     total = spans.agg(F.coalesce(F.sum(F.size("spans") + 1), F.lit(0))).first()[0]
     if total <= BROADCAST_SPANS:
         spans = F.broadcast(spans)
-    return _identified(docs).join(spans, ["doc", "tie"], "left").select("doc_id", "text", "spans")
+    return rows.join(spans, ["doc", "tie"], "left").select("doc_id", "text", "spans")
 
 
 def repeats_digest(docs: DataFrame) -> DataFrame:

@@ -240,7 +240,9 @@ def _read_task(by_rank: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterat
 
 def read_token_files(files: DataFrame, by_rank: np.ndarray) -> DataFrame:
     """Per document, from the files: doc_id, start (ids before it), n_tokens, ids_crc32."""
-    spread = files.select("path", "start").repartition("path")
+    # As many tasks as files, within reason: sizes of the list say nothing of the files'.
+    tasks = min(max(1, files.count()), 10_000)
+    spread = files.select("path", "start").repartition(tasks, "path")
     return spread.mapInArrow(partial(_read_task, by_rank), _READ)
 
 

@@ -236,7 +236,9 @@ def read_bundles(index: DataFrame) -> DataFrame:
     frames = index.groupBy("path", "frame").agg(
         F.sort_array(F.collect_list(F.struct("frame_offset", "length"))).alias("places")
     )
-    return frames.sortWithinPartitions("path", "frame").mapInArrow(_read_task, _READ)
+    tasks = min(max(1, frames.count() // 16), 10_000)
+    spread = frames.repartition(tasks, "path", (F.col("frame") / 16).cast("int"))
+    return spread.sortWithinPartitions("path", "frame").mapInArrow(_read_task, _READ)
 
 
 def warc_digest(pages: DataFrame) -> DataFrame:
