@@ -87,6 +87,6 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        return "file:" + tempfile.mkdtemp(prefix=f"logledger-{purpose}-") + "/data"
+        return "file://" + tempfile.mkdtemp(prefix=f"logledger-{purpose}-") + "/data"
     unique = spark._jvm.java.util.UUID.randomUUID().toString()
     return f"{shared.rstrip('/')}/logledger-{purpose}-{unique}"

@@ -12,7 +12,7 @@ from logledger.schemas import REQUIRED_KEYS
     [
         (record(), None),
         ("not json", "json"),
-        ('{"incomplete": "json', "json"),
+        ('{"UserName":"cut off', "json"),
         (record(Bytes=..., Source=...), "missing:Source,Bytes"),
         (record(PartnerName=..., RawData=...), None),
         (record(UserName=None), None),

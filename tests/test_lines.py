@@ -10,7 +10,7 @@ from logledger.options import VARIANTS, IngestOptions
 from logledger.schemas import ARCHIVE, BASE
 
 RUN = datetime(2026, 1, 28, 12)
-CUT, TEXT, LIST = '{"incomplete": "json', "not json at all", "[1,2]"
+CUT, TEXT, LIST = '{"UserName":"cut off', "no record here", "[1,2]"
 
 
 @pytest.mark.parametrize(

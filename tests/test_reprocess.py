@@ -8,7 +8,7 @@ from logledger.plans import reprocess as rp
 from logledger.plans.ingest import ingest_batch
 from logledger.sources.warehouse import Warehouse
 
-CUT = '{"incomplete": "json'
+CUT = '{"UserName":"cut off'
 LATER = NOW + timedelta(hours=5)
 
 

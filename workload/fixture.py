@@ -23,7 +23,7 @@ FULL_SPLIT = 128 * 1024**2
 ROOT = "mem://bucket/logs/"
 
 FILES = """
-SELECT file_no, concat('$root', 'LOG-SERVER-0', CAST(file_no % 4 + 1 AS $string), '-', $stamp,
+SELECT file_no, concat('$root', 'gate-', CAST(file_no % 4 + 1 AS $string), '-', $stamp,
     '0000-', CAST(file_no AS $string), '.json') AS gcs_uri,
   date_trunc('second', ts) AS file_ts
 FROM (SELECT $file_no AS file_no, min(ts) AS ts FROM $events GROUP BY 1)
@@ -60,13 +60,16 @@ WITH slots AS (
     ',"EventDt":"', event_dt, '","Action":"', event_type,
     '","Filename":"/f/', CAST(slot % 50 AS $string), '","SessionId":"s-', CAST(slot AS $string),
     '","IpAddress":"10.0.', CAST(user_id % 7 AS $string), '.', CAST(user_id % 11 AS $string),
-    '","Source":"LOG-SERVER-0', CAST(file_no % 4 + 1 AS $string), '","Bytes":', byte_count,
+    '","Source":"gate-', CAST(file_no % 4 + 1 AS $string), '","Bytes":', byte_count,
     ',"StatusCode":226,"ServerResponse":"ok","RawData":"', event_type, ' Bytes CustId"',
     ',"HashCode":', CAST(slot * 7919 - 40000000 AS $string), '}') AS own_line
   FROM filled
 ), placed AS (
-  SELECT slot, file_no, CASE kind WHEN 'own' THEN own_line WHEN 'cut' THEN '{"incomplete": "json'
-    WHEN 'text' THEN 'not json at all' ELSE '   ' END AS data
+  SELECT slot, file_no, CASE kind WHEN 'own' THEN own_line
+    WHEN 'cut' THEN CASE slot % 3 WHEN 0 THEN '{"a":1}] rest' WHEN 1 THEN '{"a":1}],[{"b":'
+      ELSE '{"UserName":"u' END
+    WHEN 'text' THEN CASE slot % 2 WHEN 0 THEN '1],[2' ELSE 'no record here' END
+    ELSE '   ' END AS data
   FROM written WHERE kind NOT IN ('previous', 'earlier')
   UNION ALL
   SELECT c.slot, c.file_no, o.own_line AS data

@@ -514,6 +514,37 @@ def all_sql() -> dict[str, str]:
     }
     q["dedup_history_any_date"] = q["dedup_history"]
     q["ingest_batch_waves"] = q["ingest_batch_ledger"]
-    q["ingest_stream_ledger"] = q["ingest_batch_ledger"]
+    for name in ("ingest_stream_ledger", "ingest_stream_small_triggers", "ingest_again"):
+        q[name] = q["ingest_batch_ledger"]
+    q["ingest_stream_base"] = q["ingest_batch_base"]
+    q["ingest_stream_archive"] = q["ingest_archive"]
+    q["ingest_batch_waves_within_batch"] = _sql(
+        f"SELECT {LEDGER_COLUMNS} FROM ({_ledger('SELECT * FROM once_loads')})",
+        once="""SELECT *, hash_fingerprint IS NULL OR row_number() OVER (
+          PARTITION BY file_no % 5 = 0, hash_fingerprint ORDER BY gcs_uri) = 1 AS first FROM rows""",
+        once_kept="""SELECT * FROM once WHERE first AND (file_no % 5 <> 0 OR hash_fingerprint IS NULL
+          OR hash_fingerprint NOT IN (SELECT hash_fingerprint FROM base))""",
+        once_loads="""SELECT gcs_uri, CASE WHEN done THEN TIMESTAMP '2024-03-01 12:00:00'
+            ELSE TIMESTAMP '2024-03-02 12:00:00' END AS done_at, want, coalesce(n, 0) AS have
+          FROM counts LEFT JOIN (SELECT gcs_uri, count(*) AS n FROM once_kept GROUP BY 1)
+          USING (gcs_uri)""",
+    )
+    q["new_file_count"] = _sql(
+        """SELECT count(*) AS new_files_to_process, TIMESTAMP '2024-03-02 12:00:00' AS run_timestamp
+        FROM waiting"""
+    )
+    q["failure_ledger_rows"] = _sql(
+        f"""SELECT gcs_uri, {LOAD_ID} AS originating_filename,
+          TIMESTAMP '2024-03-02 12:00:00' AS processed_timestamp, 0 AS rows_loaded,
+          want AS rows_expected, want AS parse_errors, 'FAILED' AS status,
+          'disk full' AS error_message
+        FROM counts WHERE NOT done"""
+    )
+    q["stored_tables"] = _sql(
+        """SELECT table_name, 'BASE TABLE' AS table_type, row_count, true AS has_size FROM (
+          SELECT 'base' AS table_name, count(*) AS row_count FROM base
+          UNION ALL SELECT 'archive', count(*) FROM archive
+          UNION ALL SELECT 'ledger', count(*) FROM ledger UNION ALL SELECT 'monitoring', 0)"""
+    )
     q["drop_superseded_ledger"] = q["ledger_latest"]
     return q

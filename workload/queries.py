@@ -295,11 +295,56 @@ def run_summary(spark, sf_dir):
 
 
 @query
-def ingest_stream_ledger(spark, sf_dir):
-    """The same two loads by a stream."""
+def ingest_batch_waves_within_batch(spark, sf_dir):
+    """One row per fingerprint and run, the second run cut into several loads."""
+    warehouse, once = _empty(spark), IngestOptions(within_batch=True)
+    ingest.ingest_batch(warehouse, history_landing(spark, sf_dir), FIRST_RUN, once)
+    whole = whole_landing(spark, sf_dir)
+    count = whole.new_files(spark, warehouse.read("ledger")).count()
+    cut = Landing(whole.paths, files_per_wave=max(1, count // 3))
+    ingest.ingest_batch(warehouse, cut, SECOND_RUN, once)
+    return _public_ledger(warehouse)
+
+
+@query
+def ingest_again(spark, sf_dir):
+    """A third run over the same files adds nothing."""
+    warehouse, _ = _history_then_all(spark, sf_dir)
+    ingest.ingest_batch(warehouse, whole_landing(spark, sf_dir), THIRD_RUN)
+    return _public_ledger(warehouse)
+
+
+@query
+def new_file_count(spark, sf_dir):
+    """Log row at the start of a run."""
+    s = stored(spark, sf_dir)
+    return ingest.new_file_count(lg.not_in_ledger(s.files, s.ledger), SECOND_RUN)
+
+
+@query
+def failure_ledger_rows(spark, sf_dir):
+    """What the ledger gets when the load of the pending files breaks off."""
+    s = stored(spark, sf_dir)
+    pending = lg.not_in_ledger(s.files, s.ledger)
+    archived = ln.archive_lines(s.lines.select("gcs_uri", "data"), v.instant(SECOND_RUN))
+    expected = lg.rows_per_file(archived, "rows_expected")
+    rows = lg.failure_rows(pending, RuntimeError("disk full"), v.instant(SECOND_RUN), expected)
+    return rows.drop("processing_duration_seconds")
+
+
+@query
+def stored_tables(spark, sf_dir):
+    """Table listing with what each table holds."""
+    tables = stored(spark, sf_dir).warehouse
+    sizes = tables.storage().select("table_name", "row_count", (F.col("size_gb") >= 0).alias("has_size"))
+    return tables.tables().select("table_name", "table_type").join(sizes, "table_name")
+
+
+def _streamed(spark, sf_dir, files_per_trigger: int) -> Warehouse:
+    """The two loads by a stream."""
     warehouse = _empty(spark)
     checkpoint = shared_folder(spark, "stream")
-    size = {"files_per_trigger": 1_000_000}
+    size = {"files_per_trigger": files_per_trigger}
     for number, (landing, run) in enumerate(
         (
             (history_landing(spark, sf_dir), FIRST_RUN),
@@ -309,7 +354,31 @@ def ingest_stream_ledger(spark, sf_dir):
         run_scheduled(
             warehouse, landing, f"{checkpoint}/{number}", clock=lambda now=run: now, **size
         )
-    return _public_ledger(warehouse)
+    return warehouse
+
+
+@query
+def ingest_stream_ledger(spark, sf_dir):
+    return _public_ledger(_streamed(spark, sf_dir, 1000))
+
+
+@query
+def ingest_stream_small_triggers(spark, sf_dir):
+    """Several triggers make up one run: the same ledger."""
+    count = whole_landing(spark, sf_dir).files(spark).count()
+    return _public_ledger(_streamed(spark, sf_dir, max(2, count // 4)))
+
+
+@query
+def ingest_stream_base(spark, sf_dir):
+    rows = _streamed(spark, sf_dir, 1000).read("base")
+    return rows.withColumn("gcs_uri", fx.public_uri()).drop("event_date")
+
+
+@query
+def ingest_stream_archive(spark, sf_dir):
+    rows = _streamed(spark, sf_dir, 1000).read("archive")
+    return rows.withColumn("gcs_uri", fx.public_uri()).drop("archived_date")
 
 
 def _state(warehouse: Warehouse) -> DataFrame:
