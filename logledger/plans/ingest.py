@@ -163,7 +163,7 @@ def run_summary(
     folders written since then are listed and opened."""
     since = now - timedelta(hours=1) if isinstance(now, datetime) else None
     now = v.instant(now)
-    recent = warehouse.read_folders("base", warehouse.folders_since("base", since))
+    recent = warehouse.read("base", since=since)
     recent = recent.filter(F.col("load_time_dt") >= v.before(now, 1, "HOURS"))
     return recent.agg(F.count("*").alias("rows_loaded_last_hour")).select(
         F.lit("ETL Complete").alias("status"),

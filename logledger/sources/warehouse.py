@@ -199,9 +199,18 @@ class Warehouse:
         bound = f"{since:%Y%m%dT%H%M%S}"
         return [f for f in live if not (m := _STAMP.search(f)) or m[1] >= bound]
 
-    def read(self, table: str, dates: Iterable[str] | None = None) -> DataFrame:
-        """A table with its columns and, if it is partitioned, its partition date."""
-        return self.read_folders(table, self.folders(table, dates))
+    def read(
+        self, table: str, dates: Iterable[str] | None = None, since: datetime | None = None
+    ) -> DataFrame:
+        """A table with its columns and, if it is partitioned, its partition date. ``dates``
+        and ``since`` (rows loaded then or later) leave out folders before they are listed:
+        reports with a window over event or load times are handed such a part of the table.
+        Their own conditions on rows stay as they are."""
+        folders = self.folders(table, dates)
+        if since is not None:
+            recent = set(self.folders_since(table, since))
+            folders = [f for f in folders if f in recent]
+        return self.read_folders(table, folders)
 
     def read_newest(self, table: str, rows: int) -> DataFrame:
         """The newest date folders, as many as it takes to hold ``rows`` rows: all a report

@@ -2,6 +2,7 @@
 
 import io
 from contextlib import redirect_stdout
+from datetime import timedelta
 
 import pytest
 from conftest import NOW, lines_frame, name, record
@@ -134,3 +135,12 @@ def test_writes_split_a_hot_date(spark, warehouse):
         assert warehouse.read_folders("base", change.added).count() == 40000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+
+
+def test_only_folders_of_recent_runs_are_opened(spark, warehouse, folder):
+    for day in range(3):
+        folder.put(name(day), [record(day)])
+        ingest_batch(warehouse, folder.landing, NOW + timedelta(days=day))
+    recent = warehouse.read("base", since=NOW + timedelta(days=1, hours=23))
+    assert recent.count() == 1 and len(recent.inputFiles()) == 1
+    assert warehouse.read("base").count() == 3

@@ -107,3 +107,26 @@ def test_number_text(spark, number, text):
 def test_blank_counts_every_white_space(spark):
     for text, blank in [("", True), ("  ", True), ("\t\t", True), (" x", False)]:
         assert one(spark, v.is_blank(F.col("t")), t=text) is blank
+
+
+@pytest.mark.parametrize(
+    "text, valid",
+    [
+        ('{"a":1}', True), ("[1,2]", True), ("1", True), ('"x"', True), ("null", True), ('{"a":[{"b":"]"}]}', True),
+        ('{"a":1}] rest', False), ('{"a":1}],[{"b":', False), ("1],[2", False), ("1,2", False), ("", False),
+        ('{"a":1', False), ("{'a':1}", False), ("NaN", False), ('1,"end:x"]', False), ("x", False),
+    ],
+)
+def test_json_validity(spark, text, valid):
+    from logledger.functions.json_lines import is_json
+
+    assert spark.createDataFrame([(text,)], "t string").select(is_json(F.col("t"))).first()[0] is valid
+
+
+def test_a_nested_value_under_a_repeated_key_is_null(spark):
+    from logledger.functions.json_lines import record_or_null
+
+    lines = ['{"Bytes":{"x":1},"Bytes":{"y":1}}', '{"Bytes":"{}","Bytes":"{x}"}', '{"Bytes":[1],"Action":"[a"}']
+    frame = spark.createDataFrame([(x,) for x in lines], "data string")
+    got = [r[0] for r in frame.select(record_or_null()).collect()]
+    assert [r.Bytes for r in got] == [None, "{x}", None] and got[2].Action == "[a"
