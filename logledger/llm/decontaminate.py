@@ -26,6 +26,8 @@ WINDOW = 10
 SHINGLE = 3
 #: Tables of up to this many rows (checked by a count) are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
+#: The same for candidates, counted by windows (about a hundred bytes each).
+BROADCAST_WINDOWS = 500_000
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -135,8 +137,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame
         F.sort_array(F.collect_list(F.struct("start", "length", "window"))).alias("found")
     )
     candidates = stored(candidates, "candidates")
+    entries = candidates.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0]
+    if entries <= BROADCAST_WINDOWS:
+        candidates = F.broadcast(candidates)
     texts = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")
-    rows = texts.join(_small(candidates), "digest").select(
+    rows = texts.join(candidates, "digest").select(
         "digest", word_list(F.col("text")).alias("w"), "found"
     )
     same = lambda c: F.exists(

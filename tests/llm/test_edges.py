@@ -104,6 +104,7 @@ ITEMS = [
 @pytest.mark.parametrize("rows", [200_000, 0])
 def test_contamination(spark, monkeypatch, rows):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", rows)
     texts = [
         None, "", "nothing", "solo, SOLO", "é b É b", "the " * 30, "nobody-here x y", "x y z x y z w",
         "alpha BETA gamma delta epsilon zeta eta theta iota kappa", "alpha beta gamma delta " * 9,
