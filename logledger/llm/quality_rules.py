@@ -322,7 +322,8 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that no rule rejects, with all their columns."""
-    stats = with_stats(docs.select("doc_id", "text")).select("doc_id", "stats")
+    # Stored: learning filters on the counts, which must not be pushed into their expressions.
+    stats = stored(with_stats(docs.select("doc_id", "text")).select("doc_id", "stats"), "stats")
     rules = learn(label_rows(stats, labels))
     own, flag = free_name(docs, "_stats"), free_name(docs, "_rejected")
     s = F.col(own)
