@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logledger.llm.staging import free_name, stored
+from logledger.llm.staging import free_name, stored, with_fixed
 
 #: Kind -> pattern, group whose length counts, least length. Fixed order of kinds.
 PATTERNS = {
@@ -73,30 +73,30 @@ def _sums(numbers: Column) -> Column:
 
 def _add_matches(rows: DataFrame, text: str, pattern: str, group: int, into: str) -> DataFrame:
     """Adds array<struct<start, end, value>> of the pattern's matches, left to right."""
-    pieces, found, ends, value = (free_name(rows, f"_{n}") for n in ("pieces", "found", "ends", "value"))
+    parts, ends = free_name(rows, "_parts"), free_name(rows, "_ends")
     has = F.col(text).rlike(pattern)
-    lit = F.lit(pattern)
-    rows = rows.withColumn(pieces, F.when(has, F.split(text, pattern, -1))).withColumn(
-        found, F.when(has, F.regexp_extract_all(F.col(text), lit, F.lit(0)))
+    matches = lambda g: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(g))
+    cut = F.struct(
+        F.split(text, pattern, -1).alias("pieces"),
+        matches(0).alias("found"),
+        (matches(group) if group else F.array().cast("array<string>")).alias("values"),
     )
-    rows = rows.withColumn(
-        value,
-        F.when(has, F.regexp_extract_all(F.col(text), lit, F.lit(group))) if group else F.col(found),
-    )
-    rows = rows.withColumn(
-        ends, F.transform(found, lambda x, i: F.length(x) + F.length(F.get(F.col(pieces), i)))
-    )
-    rows = rows.withColumn(ends, _sums(F.col(ends)))
+    # Computed once a row, not once a match: see with_fixed.
+    rows = with_fixed(rows, parts, F.when(has, cut))
+    p = F.col(parts)
+    found, values = p["found"], p["values"] if group else p["found"]
+    lengths = F.transform(found, lambda x, i: F.length(x) + F.length(F.get(p["pieces"], i)))
+    rows = with_fixed(rows, ends, _sums(lengths))
     spans = F.transform(
         found,
         lambda x, i: F.struct(
             (F.get(F.col(ends), i) - F.length(x)).alias("start"),
             F.get(F.col(ends), i).alias("end"),
-            F.get(F.col(value), i).alias("value"),
+            F.get(values, i).alias("value"),
         ),
     )
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return rows.withColumn(into, F.coalesce(spans, empty)).drop(pieces, found, ends, value)
+    return rows.withColumn(into, F.coalesce(spans, empty)).drop(parts, ends)
 
 
 def _span(s: Column, kind: int) -> Column:
