@@ -11,14 +11,21 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check import _rows
+from workload.oracle import all_sql
+from workload.queries import all_queries
 
 SMALL = "/root/testdata/sf0.001"
 LOADING = {
     "ingest_batch_base",
     "ingest_batch_waves",
+    "ingest_batch_waves_within_batch",
+    "ingest_again",
     "ingest_archive",
     "run_summary",
     "ingest_stream_ledger",
+    "ingest_stream_small_triggers",
+    "ingest_stream_base",
+    "ingest_stream_archive",
     "reprocess_failed",
     "reprocess_range",
     "reprocess_file",
@@ -26,7 +33,7 @@ LOADING = {
     "deduplicate_base",
     "drop_superseded_ledger",
 }
-READING = [q for q in entry_module.queries() if q not in LOADING]
+READING = [q for q in all_queries() if q not in LOADING]
 
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
 
@@ -40,8 +47,9 @@ def db():
 
 
 def test_all_queries_but_one_have_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"storage_growth"}
-    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+    assert set(all_queries()) - set(all_sql()) == {"storage_growth"}
+    assert set(all_sql()) <= set(all_queries()) <= set(entry_module.queries())
+    assert set(all_sql()) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry(spark):
@@ -51,7 +59,7 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", READING)
 def test_query(spark, db, name):
-    frame = entry_module.queries()[name](spark, SMALL)
+    frame = all_queries()[name](spark, SMALL)
     text = io.StringIO()
     with redirect_stdout(text):
         frame.explain()
@@ -59,7 +67,7 @@ def test_query(spark, db, name):
     assert "BroadcastNestedLoopJoin" not in text.getvalue()
     assert "BatchEvalPython" not in text.getvalue() and "ArrowEvalPython" not in text.getvalue()
     mine = frame.toPandas()
-    if name in entry_module.oracle_sql():
-        theirs = db.sql(entry_module.oracle_sql()[name]).df()
+    if name in all_sql():
+        theirs = db.sql(all_sql()[name]).df()
         assert sorted(mine.columns) == sorted(theirs.columns)
         assert _rows(mine) == _rows(theirs)
