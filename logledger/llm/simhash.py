@@ -136,10 +136,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """The documents whose id is the smallest of their component, with all columns. Of rows
-    that repeat such an id one stays; documents without an id cannot be named and all stay."""
-    found = near_duplicates(docs)
+    that repeat such an id one stays; documents without an id cannot be named and all stay.
+    ``found`` (doc_id, component_id) may come from another rule than the fingerprints'."""
+    found = near_duplicates(docs) if found is None else found
     keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     with_id = docs.filter(F.col("doc_id").isNotNull())
     place = free_name(docs, "_place")
