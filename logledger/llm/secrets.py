@@ -4,20 +4,25 @@ Patterns give the base spans. Every other long run of code-like characters is a
 encoding is inferred (digits, hex, base32, letters, base64), and three tests ask whether it
 looks uniformly random in that alphabet: chi-squared against uniform use of the symbols, runs
 about the middle of the alphabet, and serial correlation of neighbours. A candidate that
-passes could still be ordinary text too short to tell. So the rate at which two symbols of a
-run agree is measured on all plain words of the corpus, a candidate gets the probability that
-such text agrees as rarely, and Benjamini-Hochberg control within each class of lengths keeps
-the expected share of ordinary text among what is reported at ``FALSE_SHARE``. Its table is
-a histogram of bounded size, counted over all distinct candidates.
+passes could still be ordinary text too short to tell. So a null model says how likely ordinary
+text writes it: letters follow each other as in the plain words of the corpus, of every length,
+or have their usual frequencies (whichever makes it likelier; the latter alone without words),
+and kinds of characters (lower, upper, digit, sign) change as seldom as in names and paths. How
+much likelier uniform use of the candidate's own alphabet makes it bounds its p-value: text of
+the null reaches a ratio of x at most once in x times, whatever its alphabet and length.
+Benjamini-Hochberg control within each class of lengths keeps the expected share of
+ordinary text among what is reported at ``FALSE_SHARE``. Its table is a histogram of bounded
+size, counted over all distinct candidates.
 
 Spans are code point offsets, end exclusive. Null and empty texts have none. Texts are judged
 inside their rows, so ids may be null or repeated. Base spans stay as they are; a candidate
-that touches one is not tested. A corpus without plain long words reports base spans only.
+that touches one is not tested.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import log10
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +42,8 @@ PATTERNS = {
 }
 RANDOM = "random"
 KINDS = (*PATTERNS, RANDOM)
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 #: Each test refuses one random string in a thousand.
 TEST_LIMIT = 3.29
 FALSE_SHARE = 0.01
@@ -57,6 +63,22 @@ ENCODINGS = {
     "letters": ("^[A-Za-z]+$", _UPPER + _LOWER),
     "base64": ("", _UPPER + _LOWER + _DIGITS + "+/"),
 }
+_ALL = ENCODINGS["base64"][1]
+PLAIN = r"(?<![\p{L}\p{N}])[A-Z]?[a-z]+(?![\p{L}\p{N}])"
+#: Letters in a hundred of usual text: the null model where there are no words, and its weight.
+USUAL = dict(zip(_LOWER, (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.8, 4.0, 2.4, 6.7, 7.5, 1.9, 0.1, 6.0, 6.3, 9.1, 2.8, 1.0, 2.4, 0.15, 2.0, 0.1), strict=True))
+USUAL_WEIGHT = 1000.0
+#: Weight of a letter's own frequency against its frequency after another one.
+ALONE_WEIGHT = 20.0
+#: How often kinds follow each other in names, paths and numbers of ordinary text.
+KIND_SYMBOLS = {"lower": _LOWER, "upper": _UPPER, "digit": _DIGITS, "sign": "+/"}
+KIND_STARTS = {"lower": 0.4, "upper": 0.3, "digit": 0.2, "sign": 0.1}
+KIND_STEPS = {
+    "lower": {"lower": 0.80, "upper": 0.10, "digit": 0.05, "sign": 0.05},
+    "upper": {"lower": 0.25, "upper": 0.65, "digit": 0.06, "sign": 0.04},
+    "digit": {"lower": 0.08, "upper": 0.08, "digit": 0.75, "sign": 0.09},
+    "sign": {"lower": 0.40, "upper": 0.25, "digit": 0.25, "sign": 0.10},
+}
 
 
 def _sums(numbers: Column) -> Column:
@@ -113,7 +135,47 @@ def _of_kind(spans: str, kind: int) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
-def _tests(token: Column) -> Column:
+def letter_pairs(docs: DataFrame, text: str = "text") -> dict[str, int]:
+    """How often one letter follows another in the corpus' plain words, each distinct word once."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(PLAIN), F.lit(0))).alias("w"))
+    words = words.select(F.lower("w").alias("w")).distinct()
+    places = F.sequence(F.lit(1), F.length("w") - 1)
+    pairs = words.filter(F.length("w") > 1).select(
+        F.explode(F.transform(places, lambda i: F.substring(F.col("w"), i, F.lit(2)))).alias("pair")
+    )
+    return dict(pairs.groupBy("pair").agg(F.count("*")).collect())
+
+
+def null_logs(pairs: dict[str, int]) -> list[float]:
+    """Logarithms of the null's probabilities: of each base64 symbol as the first one, then of
+    each after each other."""
+    usual = {x: n / sum(USUAL.values()) for x, n in USUAL.items()}
+    ends = {b: sum(pairs.get(a + b, 0) for a in _LOWER) for b in _LOWER}
+    seen = sum(ends.values())
+    alone = {b: (ends[b] + USUAL_WEIGHT * usual[b]) / (seen + USUAL_WEIGHT) for b in _LOWER}
+    total = {a: sum(pairs.get(a + b, 0) for b in _LOWER) for a in _LOWER}
+    kind = {x: k for k, symbols in KIND_SYMBOLS.items() for x in symbols}
+
+    def of_kind(x: str, after: str = "") -> float:
+        a, b = after.lower(), x.lower()
+        if b not in alone:
+            return 1 / len(KIND_SYMBOLS[kind[x]])
+        if a not in alone:
+            return alone[b]
+        return (pairs.get(a + b, 0) + ALONE_WEIGHT * alone[b]) / (total[a] + ALONE_WEIGHT)
+
+    starts = [log10(KIND_STARTS[kind[x]] * of_kind(x)) for x in _ALL]
+    steps = [log10(KIND_STEPS[kind[a]][kind[x]] * of_kind(x, a)) for a in _ALL for x in _ALL]
+    return starts + steps
+
+
+def null_model(docs: DataFrame) -> Column:
+    """The null of a corpus and that of usual letters: one literal, not one expression a number."""
+    logs = [[round(x, 6) for x in null_logs(pairs)] for pairs in (letter_pairs(docs), {})]
+    return F.from_json(F.lit(str(logs)), "array<array<double>>")
+
+
+def _tests(token: Column, model: Column) -> Column:
     """What the battery says of one candidate."""
     bare = F.regexp_replace(F.translate(token, "-_", "+/"), "=+", "")
     case = reduce(
@@ -124,6 +186,25 @@ def _tests(token: Column) -> Column:
     # Nested one-element transforms name a value once, for many uses.
     let = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
 
+    # The null's probability of the candidate against that of uniform use of its alphabet.
+    places = F.transform(F.filter(F.split(bare, ""), lambda c: c != ""), lambda c: F.instr(F.lit(_ALL), c) - 1)
+    null = let(
+        places,
+        lambda own: F.array_max(
+            F.transform(
+                model,
+                lambda m: F.aggregate(
+                    F.transform(
+                        own,
+                        lambda c, i: F.get(m, c + F.when(i == 0, 0).otherwise(len(_ALL) * (1 + F.get(own, i - 1)))),
+                    ),
+                    F.lit(0.0),
+                    lambda a, x: a + x,
+                ),
+            )
+        ),
+    )
+
     def judge(alphabet: Column, codes: Column) -> Column:
         n, k = F.size(codes).cast("double"), F.length(alphabet).cast("double")
         squares = F.aggregate(
@@ -151,7 +232,13 @@ def _tests(token: Column) -> Column:
             squares,
             lambda s: F.struct(
                 n.cast("int").alias("n"),
-                ((s - n) / F.greatest(n * (n - 1), F.lit(1.0))).alias("agree"),
+                F.array_position(F.array(*[F.lit(a) for _, a in ENCODINGS.values()]), alphabet)
+                .cast("int")
+                .alias("encoding"),
+                # At most BINS; the p-value is at most 10 ** (-bin / 10).
+                F.greatest(
+                    F.lit(0), F.least(F.lit(BINS), F.floor(-10 * (null + n * F.log10(k))))
+                ).cast("int").alias("bin"),
                 (
                     (n >= 2)
                     & (
@@ -161,7 +248,6 @@ def _tests(token: Column) -> Column:
                     & (z_runs <= TEST_LIMIT)
                     & (z_serial <= TEST_LIMIT)
                 ).alias("random"),
-                token.rlike("^[A-Z]?[a-z]+$").alias("plain"),
                 F.xxhash64(token).alias("token"),
             ),
         )
@@ -177,7 +263,7 @@ def _tests(token: Column) -> Column:
     )
 
 
-def scanned(docs: DataFrame, base: str, candidates: str, text: str = "text") -> DataFrame:
+def scanned(docs: DataFrame, base: str, candidates: str, model: Column, text: str = "text") -> DataFrame:
     """Adds ``base`` (array of start, end, kind number) and ``candidates`` (array of start, end
     and test results)."""
     own = free_name(docs, "_text")
@@ -195,78 +281,48 @@ def scanned(docs: DataFrame, base: str, candidates: str, text: str = "text") ->
     long = free_name(rows, "_long")
     rows = _add_matches(rows, own, CANDIDATE, 0, long)
     rows = rows.withColumn(base, F.sort_array(F.concat(*spans))).drop(*columns)
-    apart = F.filter(
+    pieces = free_name(rows, "_pieces")
+    rows = with_fixed(rows, pieces, F.filter(
         long,
         lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
+    ))
     tested = F.transform(
-        apart,
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _tests(s["value"]).alias("t")),
-    )
-    return rows.withColumn(candidates, tested).drop(long, own)
-
-
-def _upper_tail(z: Column) -> Column:
-    """P(standard normal > z), by a usual rational approximation (error below 1e-7)."""
-    a = F.abs(z)
-    t = 1 / (1 + 0.2316419 * a)
-    poly = t * (
-        0.319381530
-        + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429)))
+        pieces,
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _tests(s["value"], model).alias("t")),
     )
-    tail = F.exp(-a * a / 2) / 2.5066282746310002 * poly
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+    return rows.withColumn(candidates, tested).drop(long, pieces, own)
 
 
 def _length_class(n: Column) -> Column:
     return sum(((n >= x).cast("int") for x in LENGTH_CLASSES), F.lit(0))
 
 
-def _bin(t: Column, agree: float, spread: float) -> Column:
-    n = t["n"].cast("double")
-    z = (agree - t["agree"]) * F.sqrt(F.greatest(n * (n - 1), F.lit(1.0))) / spread
-    p = F.greatest(_upper_tail(z), F.lit(10.0 ** (-BINS / 10)))
-    return F.least(F.floor(-10 * F.log10(p)), F.lit(BINS)).cast("int")
-
-
-def thresholds(candidates: DataFrame) -> Column | None:
+def thresholds(candidates: DataFrame):
     """From all candidates (column ``t``) the test ``t -> is a secret``, as a function."""
     tokens = candidates.select("t.*").filter("n >= 2")
     # A token that many copies of a document share is one observation.
-    tokens = stored(tokens.groupBy("token").agg(*[F.first(c).alias(c) for c in ("n", "agree", "random", "plain")]), "tokens")
-    plain = tokens.filter("plain")
-    agree = plain.agg(F.avg("agree")).first()[0]
-    if agree is None:
-        return None
-    spread = plain.agg(
-        F.sqrt(F.avg(F.col("n") * (F.col("n") - 1.0) * F.pow(F.col("agree") - agree, F.lit(2.0))))
-    ).first()[0]
-    if not spread:
-        return None
-    t = F.struct("n", "agree")
+    tokens = tokens.groupBy("token").agg(*[F.first(c).alias(c) for c in ("n", "encoding", "bin", "random")])
+    group = _length_class(F.col("n"))
     table = (
-        tokens.select(_length_class(F.col("n")).alias("c"), _bin(t, agree, spread).alias("b"), "random")
+        tokens.select(group.alias("c"), F.when(F.col("random"), F.col("bin")).otherwise(0).alias("b"))
         .groupBy("c", "b")
         .agg(F.count("*").alias("n"))
     )
-    # At most (classes x bins) rows from here on.
+    # At most (encodings x classes x bins) rows from here on.
     lower = Window.partitionBy("c").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = table.select("c", "b", F.sum("n").over(lower).alias("r"), F.sum("n").over(Window.partitionBy("c")).alias("m"))
     first = ranked.filter(F.pow(F.lit(10.0), -F.col("b") / 10) * F.col("m") <= FALSE_SHARE * F.col("r"))
     least = {r[0]: r[1] for r in first.groupBy("c").agg(F.min("b")).collect()}
 
     def secret(t: Column) -> Column:
-        limit = F.create_map(
-            *[F.lit(x) for c in range(len(LENGTH_CLASSES) + 1) for x in (c, least.get(c, BINS + 1))]
-        )
-        return t["random"] & (_bin(t, agree, spread) >= limit[_length_class(t["n"])])
+        count = len(LENGTH_CLASSES) + 1
+        limits = F.array(*[F.lit(least.get(c, BINS + 1)) for c in range(count)])
+        return t["random"] & (t["bin"] >= F.get(limits, _length_class(t["n"])))
 
     return secret
 
 
 def _all_spans(base: str, candidates: str, secret) -> Column:
-    if secret is None:
-        return F.col(base)
     more = F.transform(
         F.filter(candidates, lambda c: secret(c["t"])), lambda c: _span(c, len(PATTERNS))
     )
@@ -287,8 +343,9 @@ def _joined(spans: str) -> Column:
 def find_secrets(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans (text) and
     span_list (start, end, kind)."""
+    model = null_model(docs)
     rows = stored(
-        scanned(docs.select("doc_id", "text"), "base", "candidates").drop("text"), "scanned"
+        scanned(docs.select("doc_id", "text"), "base", "candidates", model).drop("text"), "scanned"
     )
     secret = thresholds(rows.select(F.explode("candidates.t").alias("t")))
     rows = rows.withColumn("found", _all_spans("base", "candidates", secret))
@@ -318,9 +375,10 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     column, follows the new text. Overlapping spans become one mark."""
     base, candidates, spans, cuts = (free_name(docs, f"_{n}") for n in ("base", "candidates", "spans", "cuts"))
     own = docs.select("text")
-    seen = stored(scanned(own, base, candidates).select(candidates), "candidates")
+    model = null_model(own)
+    seen = stored(scanned(own, base, candidates, model).select(candidates), "candidates")
     secret = thresholds(seen.select(F.explode(f"{candidates}.t").alias("t")))
-    rows = scanned(docs, base, candidates).withColumn(spans, _all_spans(base, candidates, secret))
+    rows = scanned(docs, base, candidates, model).withColumn(spans, _all_spans(base, candidates, secret))
     # A span that starts before an earlier one ends adds to it and opens no mark of its own.
     rows = rows.withColumn(
         cuts,

@@ -1,0 +1,35 @@
+"""Random strings of every encoding and length, with and without words around them."""
+
+import base64
+import random
+
+import pytest
+
+from logledger.llm import secrets as S
+from llm.test_secrets import corpus, frame
+
+ALPHABETS = {k: a for k, (_, a) in S.ENCODINGS.items() if k not in ("digits", "hex")}
+
+
+def random_spans(spark, texts):
+    rows = {r.doc_id: r for r in S.find_secrets(frame(spark, texts)).collect()}
+    return [
+        [t[s.start : s.end] for s in rows[i if i else None].span_list if s.kind == S.RANDOM]
+        for i, t in enumerate(texts)
+    ]
+
+
+@pytest.mark.parametrize("around", ["", "12 34 5 "])
+def test_found_in_a_corpus_without_long_words(spark, around):
+    key = base64.b64encode(random.Random(3).randbytes(30)).decode()
+    other = "/2026/01/28/report-of-the-day/page-000123"
+    assert random_spans(spark, [None, f"{around}{key}", f"{around}{other}"]) == [[], [key], []]
+
+
+def test_ordinary_long_runs_are_not_reported(spark):
+    texts = [
+        None, "internationalizations-of-many-words", "/usr/local/share/documentation/index_of_pages",
+        "XMLHttpRequestFactoryBuilderOptions", "THE_QUICK_BROWN_FOX_JUMPS_OVER", "=" * 40, "-" * 25,
+        "2026-01-28-10-30-00-000-LOG-TEST", "abababababababababababab",
+    ]
+    assert not any(random_spans(spark, texts))
