@@ -10,7 +10,7 @@ or have their usual frequencies (whichever makes it likelier; the latter alone w
 and kinds of characters (lower, upper, digit, sign) change as seldom as in names and paths. How
 much likelier uniform use of the candidate's own alphabet makes it bounds its p-value: text of
 the null reaches a ratio of x at most once in x times, whatever its alphabet and length.
-Benjamini-Hochberg control within each class of lengths keeps the expected share of
+Benjamini-Hochberg control within each encoding and class of lengths keeps the expected share of
 ordinary text among what is reported at ``FALSE_SHARE``. Its table is a histogram of bounded
 size, counted over all distinct candidates.
 
@@ -302,7 +302,7 @@ def thresholds(candidates: DataFrame):
     tokens = candidates.select("t.*").filter("n >= 2")
     # A token that many copies of a document share is one observation.
     tokens = tokens.groupBy("token").agg(*[F.first(c).alias(c) for c in ("n", "encoding", "bin", "random")])
-    group = _length_class(F.col("n"))
+    group = F.col("encoding") * (len(LENGTH_CLASSES) + 1) + _length_class(F.col("n"))
     table = (
         tokens.select(group.alias("c"), F.when(F.col("random"), F.col("bin")).otherwise(0).alias("b"))
         .groupBy("c", "b")
@@ -316,8 +316,8 @@ def thresholds(candidates: DataFrame):
 
     def secret(t: Column) -> Column:
         count = len(LENGTH_CLASSES) + 1
-        limits = F.array(*[F.lit(least.get(c, BINS + 1)) for c in range(count)])
-        return t["random"] & (t["bin"] >= F.get(limits, _length_class(t["n"])))
+        limits = F.array(*[F.lit(least.get(c, BINS + 1)) for c in range(count * (len(ENCODINGS) + 1))])
+        return t["random"] & (t["bin"] >= F.get(limits, t["encoding"] * count + _length_class(t["n"])))
 
     return secret
 

@@ -19,6 +19,32 @@ def random_spans(spark, texts):
     ]
 
 
+def test_every_encoding_is_found_at_every_length(spark):
+    rng = random.Random(11)
+    words = corpus()[0][5:]
+    planted = [
+        (name, n, "".join(rng.choice(a) for _ in range(n)))
+        for name, a in ALPHABETS.items()
+        for n in (20, 24, 32, 40)
+        for _ in range(5)
+    ]
+    found = random_spans(spark, words + [f"it is {token} here" for *_, token in planted])
+    assert not any(found[: len(words)])
+    right = {}
+    for (name, n, token), own in zip(planted, found[len(words) :], strict=True):
+        assert own in ([], [token])
+        right[name, n] = right.get((name, n), 0) + len(own)
+    # The tests refuse a random string now and then, and 20 lower-case letters may look usual.
+    assert min(n for (_, length), n in right.items() if length >= 32) >= 4, right
+    assert min(right.values()) >= 3 and sum(right.values()) >= 0.95 * len(planted), right
+
+
+def test_digits_and_lower_hex_are_base_spans(spark):
+    texts = [None, "9" * 7 + "1234567890123", "0a1b2c3d4e5f60718293"]
+    rows = {r.doc_id: r for r in S.find_secrets(frame(spark, texts)).collect()}
+    assert [rows[i].spans for i in (1, 2)] == ["hex:0:20", "hex:0:20"]
+
+
 @pytest.mark.parametrize("around", ["", "12 34 5 "])
 def test_found_in_a_corpus_without_long_words(spark, around):
     key = base64.b64encode(random.Random(3).randbytes(30)).decode()
