@@ -15,8 +15,8 @@ ordinary text among what is reported at ``FALSE_SHARE``. Its table is a histogra
 size, counted over all distinct candidates.
 
 Spans are code point offsets, end exclusive. Null and empty texts have none. Texts are judged
-inside their rows, so ids may be null or repeated. Base spans stay as they are; a candidate
-that touches one is not tested.
+inside their rows, so ids may be null or repeated. Base spans stay as they are; they are cut out
+of a candidate, and each piece left that is long enough is tested.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ RANDOM = "random"
 KINDS = (*PATTERNS, RANDOM)
 LEAST = 20
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
+#: What joins a piece of a candidate to the base span beside it.
+JOINTS = r"[=/_+-]+"
 #: Each test refuses one random string in a thousand.
 TEST_LIMIT = 3.29
 FALSE_SHARE = 0.01
@@ -263,6 +265,38 @@ def _tests(token: Column, model: Column) -> Column:
     )
 
 
+def _without(run: Column, base: str) -> Column:
+    """What is left of a run (start, end, value) beside the base spans, in pieces as long as a
+    candidate. Ends where a span was cut out lose what joined them to it."""
+    piece = "array<struct<start:int,end:int>>"
+    inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+    def gap(start: Column, end: Column) -> Column:
+        return F.when(
+            end > start, F.array(F.struct(start.alias("start"), end.alias("end")))
+        ).otherwise(F.array().cast(piece))
+
+    def named(at: Column, out: Column) -> Column:
+        return F.struct(at.cast("int").alias("at"), out.cast(piece).alias("out"))
+
+    def trimmed(p: Column) -> Column:
+        value = F.substring(run["value"], p["start"] - run["start"] + 1, p["end"] - p["start"])
+        left = F.when(p["start"] > run["start"], F.regexp_replace(value, "^" + JOINTS, "")).otherwise(value)
+        both = F.when(p["end"] < run["end"], F.regexp_replace(left, JOINTS + "$", "")).otherwise(left)
+        start = p["start"] + F.length(value) - F.length(left)
+        return F.struct(
+            start.cast("int").alias("start"), (start + F.length(both)).cast("int").alias("end"), both.alias("value")
+        )
+
+    gaps = F.aggregate(
+        inside,
+        named(run["start"], F.array()),
+        lambda a, b: named(F.greatest(a["at"], b["end"]), F.concat(a["out"], gap(a["at"], b["start"]))),
+        lambda a: F.concat(a["out"], gap(a["at"], run["end"])),
+    )
+    return F.filter(F.transform(gaps, trimmed), lambda p: F.length(p["value"]) >= LEAST)
+
+
 def scanned(docs: DataFrame, base: str, candidates: str, model: Column, text: str = "text") -> DataFrame:
     """Adds ``base`` (array of start, end, kind number) and ``candidates`` (array of start, end
     and test results)."""
@@ -282,10 +316,7 @@ def scanned(docs: DataFrame, base: str, candidates: str, model: Column, text: st
     rows = _add_matches(rows, own, CANDIDATE, 0, long)
     rows = rows.withColumn(base, F.sort_array(F.concat(*spans))).drop(*columns)
     pieces = free_name(rows, "_pieces")
-    rows = with_fixed(rows, pieces, F.filter(
-        long,
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    ))
+    rows = with_fixed(rows, pieces, F.flatten(F.transform(long, lambda s: _without(s, base))))
     tested = F.transform(
         pieces,
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _tests(s["value"], model).alias("t")),
