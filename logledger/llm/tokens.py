@@ -3,7 +3,7 @@
 The library is asked once for each distinct piece of text in a worker. Pieces are cut where
 the tokenizer's own rule always cuts: before a space and around a line break that stand alone
 among other characters, and between a word and the punctuation behind it. Texts with any other
-white space go to the library whole.
+white space, or with the string of an added token, go to the library whole.
 """
 
 from __future__ import annotations
@@ -41,13 +41,14 @@ def _byte_letters() -> list[str]:
 class Pieces(dict):
     """Piece -> its ids as little-endian 32-bit numbers, found on demand."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        # Strings of special tokens in a text are ordinary text.
-        self.library.encode_special_tokens = True
+        # By the library's default a special token's string in a text gives its id.
+        self.library.encode_special_tokens = special_as_text
+        self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
         self.model = self.library.model
         self.letters = str.maketrans(dict(enumerate(_byte_letters())))
 
@@ -69,7 +70,9 @@ class Pieces(dict):
         return found
 
     def ids(self, text: str) -> bytes:
-        if any(x in text for x in (_ODD_ASCII if text.isascii() else _ODD)):
+        if any(x in text for x in (_ODD_ASCII if text.isascii() else _ODD)) or any(
+            x in text for x in self.added
+        ):
             return self.whole(text)
         if len(self) > REMEMBERED:
             self.clear()
@@ -78,9 +81,9 @@ class Pieces(dict):
 
 
 @cache
-def encoder(path: str) -> Pieces:
+def encoder(path: str, special_as_text: bool = False) -> Pieces:
     """One per Python worker: workers are reused from task to task."""
-    return Pieces(path)
+    return Pieces(path, special_as_text)
 
 
 def default_path() -> str:
@@ -94,8 +97,10 @@ def document_ids(text: str | None, pieces: Pieces) -> bytes:
     return pieces.ids(text or "") + END.to_bytes(4, "little")
 
 
-def encoded(path: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def encoded(
+    path: str | None, batches: Iterator[pa.RecordBatch], special_as_text: bool = False
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Batches with a column ``text`` and, beside each, the ids of its documents."""
-    pieces = encoder(path or default_path())
+    pieces = encoder(path or default_path(), special_as_text)
     for batch in batches:
         yield batch, [document_ids(t, pieces) for t in batch["text"].to_pylist()]
