@@ -42,13 +42,21 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class Flow:
     """
     damping   share of a host's score that flows on
-    rounds    what is left after so many is below damping ** rounds of the seeds
+    rounds    what is left after so many is below damping ** rounds of the seeds; None goes on
+              until a round adds at most ``tolerance`` to the sum of all scores
     decimals  scores are compared after rounding, so that the order of sums does not matter
     """
 
     damping: float = 0.85
-    rounds: int = 10
+    rounds: int | None = 10
     decimals: int = 10
+    tolerance: float = 1e-10
+
+
+#: Scores that more rounds do not change: what a round adds shrinks by the damping each time.
+CONVERGED = Flow(rounds=None)
+#: Rounds between tables.
+_BLOCK = 5
 
 
 def _lowered(text: Column) -> Column:
@@ -133,21 +141,35 @@ def propagate(edges: DataFrame, seeds: DataFrame, flow: Flow = Flow()) -> DataFr
     ).select("s.kind", F.col("host").alias("a"), "s.score")
     start = stored(start.filter("score > 0"), "seeds")
     kept = start.select("kind", "a", ((1 - flow.damping) * F.col("score")).alias("score"))
-    now = kept
-    for step in range(1, flow.rounds + 1):
+    now = kept.withColumn("added", F.col("score"))
+    step, going = 0, True
+    while going:
+        step += 1
         moved = now.join(ways, ["kind", "a"]).select(
-            "kind", F.col("b").alias("a"), (F.col("score") * F.col("share")).alias("score")
+            "kind",
+            F.col("b").alias("a"),
+            (F.col("score") * F.col("share")).alias("score"),
+            (F.col("added") * F.col("share")).alias("added"),
+        )
+        # ``added`` is what this round adds: summed on its own, so no rounding hides the end.
+        now = (
+            moved.unionByName(kept.withColumn("added", F.lit(0.0)))
+            .groupBy("kind", "a")
+            .agg(F.sum("score").alias("score"), F.sum("added").alias("added"))
         )
-        now = moved.unionByName(kept).groupBy("kind", "a").agg(F.sum("score").alias("score"))
-        if step % 5 == 0:
+        if step % _BLOCK == 0:
             now = stored(now, "scores")
+        if flow.rounds is not None:
+            going = step < flow.rounds
+        elif step % _BLOCK == 0:
+            going = (now.agg(F.sum("added")).first()[0] or 0.0) > flow.tolerance
     score = lambda kind: F.round(
         F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), flow.decimals
     ).alias(kind)
     return now.groupBy(F.col("a").alias("host")).agg(score("trust"), score("distrust"))
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, flow: Flow = Flow()) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: DataFrame, flow: Flow = CONVERGED) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, and the host's trust and
     distrust."""
     rows = with_host(pages)
@@ -177,7 +199,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, flow: Flow = Flow()) -> DataF
 
 
 def sql(rules=RULES, flow: Flow = Flow()) -> str:
-    """The same in SQL, round by round."""
+    """The same in SQL for a fixed number of rounds: equal verdicts where no host needs more."""
     values = ", ".join(
         f"('{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for r, v in rules
     )
