@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logledger.llm import chat, decontaminate, hosts, warc
 from logledger.llm.packing import packing_digest
+from logledger.llm.periodic import periodic_digest
 from logledger.llm.quality_rules import quality_verdicts
 from logledger.llm.repeats import repeats_digest
 from logledger.llm.secrets import find_secrets
 from logledger.llm.simhash import near_duplicates
+from logledger.llm.token_counts import token_counts
 from logledger.llm.token_files import token_file_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents")).drop("span_list")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_digest(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()
