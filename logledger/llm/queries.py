@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logledger.llm import chat, decontaminate, hosts, warc
+from logledger.llm import chat, decontaminate, hosts, phrases, warc
 from logledger.llm.packing import packing_digest
 from logledger.llm.periodic import periodic_digest
 from logledger.llm.quality_rules import quality_verdicts
@@ -65,6 +65,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents")).drop("span_list")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(table(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -85,4 +89,5 @@ def llm_sql() -> dict[str, str]:
         "op3_chat": chat.SQL,
         "op6_url_filter": hosts.sql(),
         "op9_warc": warc.SQL,
+        "op11_phrases": phrases.SQL,
     }

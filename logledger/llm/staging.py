@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +39,15 @@ def with_fixed(frame: DataFrame, name: str, value: Column) -> DataFrame:
 def text_batches(spark: SparkSession) -> None:
     """Bounds the memory of Python workers by small Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For actions inside: so many rows go to Python at once, where a row holds a block of data."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
