@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logledger.sources.files import shared_folder
+from logledger.sources.files import FileSystem, shared_folder
 
 #: Rows of text that go to Python at once: texts may be long.
 TEXTS_PER_BATCH = 256
@@ -19,7 +20,19 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     here, and a lost executor costs nothing that is already written."""
     folder = shared_folder(frame.sparkSession, purpose)
     frame.write.option("compression", "zstd").parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    held = frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    held.staged_in = folder
+    return held
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes stored tables that no later pass reads. Files of the shuffles that made them go
+    too: Spark removes those when the driver has collected its garbage, so it is asked to."""
+    spark = frames[0].sparkSession
+    for frame in frames:
+        FileSystem(spark, frame.staged_in).delete(frame.staged_in)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def free_name(frame: DataFrame, name: str) -> str:
