@@ -4,6 +4,11 @@ A line is parsed once: as ``[<line>,{"__end":"1"}]``. The result has exactly two
 the second being the end mark, only if the line was one complete JSON value: truncated
 objects, trailing text, several objects and stray brackets all fail this test.
 
+Fields are read as variants, which keep their JSON type: objects and arrays become NULL, and
+strings that look like one do not. A number that was written with a fraction keeps one (``1.0``
+is no whole number). Objects may name a key twice, the last one counts: this needs the session
+setting ``spark.sql.variant.allowDuplicateKeys``, which ``session.configure`` makes.
+
 The expressions work on a column named ``data``. They are written as one SQL text each, since
 building them piece by piece takes hundreds of calls to Spark.
 """
@@ -15,8 +20,7 @@ from pyspark.sql import functions as F
 
 from logledger.schemas import RAW_KEYS
 
-_KEYS = (*RAW_KEYS, "__end")
-_SHAPE = "array<struct<%s>>" % ", ".join(f"`{k}` string" for k in _KEYS)
+_SHAPE = "array<struct<%s, __end string>>" % ", ".join(f"`{k}` variant" for k in RAW_KEYS)
 _ARRAY = f"""from_json(concat('[', data, ',{{"__end":"1"}}]'), '{_SHAPE}',
   map('allowSingleQuotes', 'false'))"""
 
@@ -24,28 +28,17 @@ _ARRAY = f"""from_json(concat('[', data, ',{{"__end":"1"}}]'), '{_SHAPE}',
 _WHOLE = f"transform(array({_ARRAY}), a -> IF(size(a) = 2 AND a[1].__end = '1', a[0], NULL))"
 
 
-def _composite(key: str) -> str:
-    """The same test for objects that name a key twice, which have no variant form."""
-    kinds = " OR ".join(
-        f"from_json(data, '`{key}` {kind}').{key} IS NOT NULL"
-        for kind in ("map<string,string>", "array<string>")
-    )
-    return f"try_parse_json(data) IS NULL AND ({kinds})"
-
-
-def _scalar(key: str) -> str:
-    """A field unless it is an object or array. The text of one and that of a string holding
-    the same characters look alike, so a value that opens with a bracket is looked up again
-    with its JSON type."""
-    found = f"try_variant_get(try_parse_json(data), '$.{key}', 'variant')"
-    nested = f"coalesce(rlike(schema_of_variant({found}), '^(OBJECT|ARRAY)'), {_composite(key)})"
-    opens = f"startswith(r.{key}, '{{') OR startswith(r.{key}, '[')"
-    return f"'{key}', CASE WHEN {opens} THEN IF({nested}, NULL, r.{key}) ELSE r.{key} END"
+def _text(key: str) -> str:
+    """A field's text. Whole numbers that fit 18 digits have the type BIGINT, so a decimal of
+    that size without places had some that were zero."""
+    text, kind = f"try_variant_get(r.{key}, '$', 'string')", f"schema_of_variant(r.{key})"
+    zeros = f"{kind} LIKE 'DECIMAL(%,0)' AND length({text}) < 19"
+    return f"""'{key}', CASE substr({kind}, 1, 3) WHEN 'OBJ' THEN NULL WHEN 'ARR' THEN NULL
+      WHEN 'DEC' THEN IF({zeros}, concat({text}, '.0'), {text}) ELSE {text} END"""
 
 
-# Only lines that may hold a nested value pay for the second look.
-_RECORD = f"""transform({_WHOLE}, r -> IF(r IS NOT NULL AND data RLIKE ':[ \\\\t]*[{{\\\\[]',
-  named_struct({", ".join(_scalar(k) for k in _KEYS)}), r))"""
+_RECORD = f"""transform({_WHOLE}, r -> IF(r IS NULL, NULL,
+  named_struct({", ".join(_text(k) for k in RAW_KEYS)})))"""
 _OBJECT_START = r"data RLIKE '^\\s*\\{'"
 
 

@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     # All instants are UTC; dates and hours are derived from UTC instants.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # JSON objects that name a key twice are read, the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # AQE picks broadcast or sort-merge from measured sizes, splits skewed join sides,
     # and sizes the write partitions of the REBALANCE hint.
     "spark.sql.adaptive.enabled": "true",

@@ -130,3 +130,22 @@ def test_a_nested_value_under_a_repeated_key_is_null(spark):
     frame = spark.createDataFrame([(x,) for x in lines], "data string")
     got = [r[0] for r in frame.select(record_or_null()).collect()]
     assert [r.Bytes for r in got] == [None, "{x}", None] and got[2].Action == "[a"
+
+
+@pytest.mark.parametrize(
+    "line, fields",
+    [
+        ('{"Bytes":{"a":{"c":1,"c":2}},"Action":"x"}', {"Bytes": None, "Action": "x"}),
+        ('{"Bytes":[{"a":1,"a":2}],"Action":"{}"}', {"Bytes": None, "Action": "{}"}),
+        ('{"Bytes":1.0,"CustId":-0.0,"HashCode":1.50}', {"Bytes": "1.0", "CustId": "0.0", "HashCode": "1.5"}),
+        ('{"Bytes":1e3,"CustId":true,"HashCode":99999999999999999999}',
+         {"Bytes": "1000.0", "CustId": "true", "HashCode": "99999999999999999999"}),
+        ('{"Bytes":null,"CustId":"1.0","HashCode":-9223372036854775808}',
+         {"Bytes": None, "CustId": "1.0", "HashCode": "-9223372036854775808"}),
+    ],
+)
+def test_fields_keep_their_json_type(spark, line, fields):
+    from logledger.functions.json_lines import record_or_null
+
+    found = spark.createDataFrame([(line,)], "data string").select(record_or_null()).first()[0]
+    assert {k: found[k] for k in fields} == fields
