@@ -11,6 +11,7 @@ from __future__ import annotations
 import contextlib
 import time
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from hashlib import sha256
 from uuid import uuid4
@@ -27,6 +28,8 @@ from logledger.sources.landing import Landing
 from logledger.sources.warehouse import Change, VersionConflict, Warehouse, partition_date
 
 COMPACT_ABOVE = 64
+LISTED = "gcs_uri string, length bigint, modified timestamp"
+LISTED_COLUMNS = [c.split()[0] for c in LISTED.split(", ")]
 
 
 def load_files(
@@ -181,6 +184,14 @@ def new_file_count(pending: DataFrame, now: datetime | Column) -> DataFrame:
     )
 
 
+@dataclass
+class Loaded:
+    """What a call has loaded so far."""
+
+    files: int = 0
+    duplicates: int = 0
+
+
 def ingest_batch(
     warehouse: Warehouse,
     landing: Landing,
@@ -193,56 +204,102 @@ def ingest_batch(
 
     A backlog too large for one load is loaded in waves, each committed on its own, so a
     failure repeats one wave at most. Waves of one run are no history to each other: how a
-    backlog is cut does not change what is loaded.
+    backlog is cut does not change what is loaded. The files of a run are listed when it opens.
+    If it breaks off, the next call first loads the rest of that list as part of that run, and
+    then what came later as a run of its own, to which all earlier rows are history.
     """
-    spark = warehouse.spark
     started = time.monotonic()
     scope = "batch-" + sha256("\n".join(landing.paths).encode()).hexdigest()[:16]
-    run = open_run(warehouse, scope, now)
-    files, duplicates = 0, 0
+    loaded = Loaded()
     for attempt in range(attempts):
-        folder = f"{warehouse.root}/_runs/{run}/pending-{uuid4().hex[:8]}"
-        found = landing.new_files(spark, warehouse.read("ledger"))
-        pending = dedup.stored(found, folder)
         try:
-            for number, wave in enumerate(landing.waves(pending)):
-                if log:
-                    log(f"loading {wave.count} files at {now}")
-                batch = f"{run}-{uuid4().hex[:8]}-{number}"
-                duplicates += load_files(
-                    warehouse, wave.files, wave.lines, now, batch, options, run, started
-                )
-                files += wave.count
+            while True:
+                run, broken = open_run(warehouse, landing, scope, now)
+                load_rest(warehouse, landing, run, broken, now, options, loaded, log, started)
+                close_run(warehouse, scope, run)
+                if not broken:
+                    break
             break
         except VersionConflict:
             # Another writer came first. What it loaded is in the ledger now.
             if attempt == attempts - 1:
                 raise
-    close_run(warehouse, scope, run)
-    tidy(warehouse, run)
-    return run_summary(warehouse, now, files, duplicates)
+    tidy(warehouse, now)
+    return run_summary(warehouse, now, loaded.files, loaded.duplicates)
 
 
-def open_run(warehouse: Warehouse, scope: str, now: datetime) -> str:
-    """Name of the run in progress for a scope. A run that broke off goes on under its name,
-    so that what it has loaded already is no history to the rest."""
-    marker = f"{warehouse.root}/_runs/open-{scope}"
-    warehouse.files.create(marker, f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}")
-    return warehouse.files.read(marker)
+def load_rest(
+    warehouse: Warehouse,
+    landing: Landing,
+    run: str,
+    broken: bool,
+    now: datetime,
+    options: IngestOptions,
+    loaded: Loaded,
+    log: Callable[[str], None] | None = None,
+    started: float | None = None,
+) -> None:
+    """Loads the files of a run's list; of a broken one those that have no ledger row yet."""
+    own = f"{run}-{uuid4().hex[:8]}"
+    try:
+        listed = f"{warehouse.root}/_runs/{run}/listed"
+        pending = warehouse.spark.read.schema(LISTED).parquet(listed)
+        if broken:
+            rest = lg.not_in_ledger(pending, warehouse.read("ledger"))
+            pending = dedup.stored(rest, f"{warehouse.root}/_runs/{own}/pending")
+        for number, wave in enumerate(landing.waves(pending)):
+            if log:
+                log(f"loading {wave.count} files at {now}")
+            loaded.duplicates += load_files(
+                warehouse, wave.files, wave.lines, now, f"{own}-{number}", options, run, started
+            )
+            loaded.files += wave.count
+    finally:
+        _drop_scratch(warehouse, own)
+
+
+def _marker(warehouse: Warehouse, scope: str) -> str:
+    return f"{warehouse.root}/_runs/open-{scope}"
+
+
+def open_run(
+    warehouse: Warehouse, landing: Landing, scope: str, now: datetime
+) -> tuple[str, bool]:
+    """Name of the run in progress for a scope, and whether it is one that broke off before. A
+    new run's list of files is stored before its name is."""
+    marker = _marker(warehouse, scope)
+    while True:
+        if warehouse.files.exists(marker):
+            return warehouse.files.read(marker), True
+        run = f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
+        found = landing.new_files(warehouse.spark, warehouse.read("ledger"))
+        dedup.stored(found.select(*LISTED_COLUMNS), f"{warehouse.root}/_runs/{run}/listed")
+        if warehouse.files.create(marker, run):
+            return run, False
+        _drop_scratch(warehouse, run)  # another writer was faster
 
 
 def close_run(warehouse: Warehouse, scope: str, run: str) -> None:
-    """Ends a run that is complete and removes its run-scoped tables."""
-    warehouse.files.delete(f"{warehouse.root}/_runs/open-{scope}")
+    """Ends a run all of whose files are in the ledger. If two writers work on the same broken
+    run, the first to be done closes it."""
+    marker = _marker(warehouse, scope)
+    if warehouse.files.exists(marker) and warehouse.files.read(marker) == run:
+        warehouse.files.delete(marker)
+    _drop_scratch(warehouse, run, exact=True)
+
+
+def _drop_scratch(warehouse: Warehouse, own: str, exact: bool = False) -> None:
+    """Removes run-scoped tables: that of this name, or of all names that begin so."""
     for name in warehouse.files.children(f"{warehouse.root}/_runs"):
-        if name.startswith(run):
+        if name == own or not exact and name.startswith(own):
             warehouse.files.delete(f"{warehouse.root}/_runs/{name}")
 
 
-def tidy(warehouse: Warehouse, run: str) -> None:
-    """Merges folders where many runs have left many. Not urgent: if another writer commits
-    meanwhile, the next run does it."""
+def tidy(warehouse: Warehouse, now: datetime) -> None:
+    """Merges folders where many runs have left many. Only between runs: a merged folder belongs
+    to no run. Not urgent: if another writer commits meanwhile, the next run does it."""
     based_on = warehouse.version()
-    changes = [warehouse.compact(t, run, COMPACT_ABOVE) for t in ("ledger", "base", "archive")]
+    name = f"{now:%Y%m%dT%H%M%S}-tidy-{uuid4().hex[:8]}"
+    changes = [warehouse.compact(t, name, COMPACT_ABOVE) for t in ("ledger", "base", "archive")]
     with contextlib.suppress(VersionConflict):
         warehouse.commit_if_any(*changes, based_on=based_on)

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logledger.operators.dedup import stored
 from logledger.operators.ledger import not_in_ledger
 from logledger.options import VARIANTS, IngestOptions
-from logledger.plans.ingest import close_run, load_files, open_run, tidy
+from logledger.plans.ingest import Loaded, close_run, load_files, load_rest, open_run, tidy
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import VersionConflict, Warehouse
 
@@ -52,7 +52,8 @@ def load_micro_batch(
                     return
                 fresh = lines.join(files, "gcs_uri", "left_semi")
                 load_files(warehouse, files, fresh, now, batch, options, own)
-                tidy(warehouse, batch)
+                if not run:
+                    tidy(warehouse, now)
                 return
             except VersionConflict:
                 if attempt == attempts - 1:
@@ -96,13 +97,19 @@ def run_scheduled(
     files_per_trigger: int = 1000,
 ) -> DataFrame:
     """One scheduled run: loads all arrived files, returns the ledger. It is one run however
-    many triggers it takes, also if it breaks off and is started again: the name of the run is
-    kept until it is complete."""
+    many triggers it takes. If it breaks off, the next call first loads the rest of the files
+    that were there when it began, as part of that run; the stream then goes on with those that
+    came later as a new run, and finds the others in the ledger."""
     scope = "stream-" + sha256(checkpoint.encode()).hexdigest()[:16]
-    run = open_run(warehouse, scope, clock())
+    run, broken = open_run(warehouse, landing, scope, clock())
+    while broken:
+        load_rest(warehouse, landing, run, broken, clock(), options, Loaded())
+        close_run(warehouse, scope, run)
+        run, broken = open_run(warehouse, landing, scope, clock())
     query = start_stream(
         warehouse, landing, checkpoint, options, clock, None, files_per_trigger, run
     )
     query.awaitTermination()
     close_run(warehouse, scope, run)
+    tidy(warehouse, clock())
     return warehouse.read("ledger")

@@ -140,6 +140,68 @@ def test_how_a_backlog_is_cut_does_not_matter(spark, folder, tmp_path):
     assert results[0] == results[1] and len(results[0][1]) == 36
 
 
+def break_off(monkeypatch, parts):
+    """From now on the load after so many fails, once."""
+    load, calls = ingest.load_files, []
+
+    def failing(*args, **more):
+        calls.append(1)
+        if len(calls) == parts + 1:
+            raise RuntimeError("lost")
+        return load(*args, **more)
+
+    monkeypatch.setattr(ingest, "load_files", failing)
+
+
+def test_copies_that_come_after_a_broken_run_are_history(warehouse, folder, monkeypatch):
+    folder.put(name("a"), [record(1), record(2)])
+    folder.put(name("b"), [record(1), record(3)])
+    landing = Landing(folder.landing.paths, files_per_wave=1)
+    break_off(monkeypatch, 1)
+    with pytest.raises(RuntimeError):
+        ingest_batch(warehouse, landing, NOW)
+    assert sizes(warehouse)[0] == 2
+    folder.put(name("c"), [record(1), record(2), record(3)])
+    summary = ingest_batch(warehouse, landing, NOW + timedelta(days=1)).first()
+    # b belongs to the run of a, so its copy of a's row stays; c came later.
+    assert state(warehouse) == {"a": ("SUCCESS", 2, 2), "b": ("SUCCESS", 2, 2), "c": ("FAILED", 3, 0)}
+    assert (summary.files_processed, summary.rows_already_loaded) == (2, 3)
+    assert not warehouse.files.children(f"{warehouse.root}/_runs")
+
+
+def test_a_recorded_failure_does_not_keep_the_run_open(warehouse, folder, monkeypatch):
+    folder.put(name("a"), [record(1), record(2)])
+    folder.put(name("b"), [record(3)])
+    landing = Landing(folder.landing.paths, files_per_wave=1)
+    options = IngestOptions(record_failures=True)
+    parse, calls = ingest.parse_lines, []
+
+    def fail(*args, **more):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("broken")
+        return parse(*args, **more)
+
+    monkeypatch.setattr(ingest, "parse_lines", fail)
+    with pytest.raises(RuntimeError):
+        ingest_batch(warehouse, landing, NOW, options)
+    folder.put(name("c"), [record(1), record(2)])
+    ingest_batch(warehouse, landing, LATER, options)
+    assert {k: v[0] for k, v in state(warehouse).items()} == {"a": "SUCCESS", "b": "FAILED", "c": "FAILED"}
+    assert sizes(warehouse)[0] == 2
+
+
+def test_merging_between_runs_keeps_history(warehouse, folder, monkeypatch):
+    """Merged folders are history to every later run, also one that broke off meanwhile."""
+    monkeypatch.setattr(ingest, "COMPACT_ABOVE", 1)
+    for i in range(3):
+        folder.put(name(i), [record(i)])
+        ingest_batch(warehouse, folder.landing, NOW + timedelta(minutes=i))
+    folder.put(name("again"), [record(0), record(1), record(2), record(3)])
+    ingest_batch(warehouse, folder.landing, LATER)
+    assert state(warehouse)["again"] == ("PARTIAL", 4, 1)
+
+
 def test_names_with_odd_characters(warehouse, folder):
     for odd in ("it's", "a[1]", "b{c}", "d*e", "ä ö", "100%25", "x\\y"):
         folder.put(f"{odd}.json", [record(hash(odd) % 50)])

@@ -8,6 +8,7 @@ from logledger.plans import ingest
 from logledger.plans.ingest import ingest_batch
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import Warehouse
+from logledger.streaming import ingest_stream
 from logledger.streaming.ingest_stream import load_micro_batch, run_scheduled, start_stream
 
 COLUMNS = ["gcs_uri", "rows_expected", "rows_loaded", "status", "error_message"]
@@ -90,6 +91,31 @@ def test_a_failed_micro_batch_is_recorded_and_not_retried(
     assert [(r.status, r.error_message) for r in found] == [("FAILED", "broken")]
 
 
+def test_copies_that_come_after_a_broken_scheduled_run_are_history(
+    spark, warehouse, folder, tmp_path, monkeypatch
+):
+    folder.put(name("a"), [record(1), record(2)])
+    folder.put(name("b"), [record(3), record(4)])
+    load, calls, check = ingest.load_files, [], f"file:{tmp_path}/check"
+
+    def failing(*args, **more):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return load(*args, **more)
+
+    monkeypatch.setattr(ingest_stream, "load_files", failing)
+    with pytest.raises(Exception, match="lost"):
+        run_scheduled(warehouse, folder.landing, check, clock=clock, files_per_trigger=1)
+    assert warehouse.read("base").count() == 2
+    folder.put(name("c"), [record(1), record(2), record(3), record(4)])
+    later = NOW + timedelta(days=1)
+    found = run_scheduled(warehouse, folder.landing, check, clock=lambda: later, files_per_trigger=1)
+    assert sorted(r.rows_loaded for r in found.collect()) == [0, 2, 2]
+    assert warehouse.read("base").count() == 4
+    assert not warehouse.files.children(f"{warehouse.root}/_runs")
+
+
 def test_late_events_land_in_their_own_date(spark, warehouse, folder, tmp_path):
     folder.put(name("a"), [record(1, EventDt="2019-05-05T00:00:00Z"), record(2)])
     run_scheduled(warehouse, folder.landing, f"file:{tmp_path}/check", clock=clock)

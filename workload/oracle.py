@@ -516,6 +516,8 @@ def all_sql() -> dict[str, str]:
     q["ingest_batch_waves"] = q["ingest_batch_ledger"]
     for name in ("ingest_stream_ledger", "ingest_stream_small_triggers", "ingest_again"):
         q[name] = q["ingest_batch_ledger"]
+    columns = LEDGER_COLUMNS.replace("processed_timestamp, ", "")
+    q["ingest_after_failure"] = _sql(f"SELECT {columns} FROM two_runs")
     q["ingest_stream_base"] = q["ingest_batch_base"]
     q["ingest_stream_archive"] = q["ingest_archive"]
     q["ingest_batch_waves_within_batch"] = _sql(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -306,6 +307,27 @@ def ingest_batch_waves_within_batch(spark, sf_dir):
     return _public_ledger(warehouse)
 
 
+@query
+def ingest_after_failure(spark, sf_dir):
+    """The first run breaks off after one of its loads. The next call ends it, and loads what
+    came later as a run of its own: the same ledger, times apart."""
+    warehouse, whole = _empty(spark), whole_landing(spark, sf_dir)
+    first = Landing(whole.paths, path_pattern=r"/history/.*\.json$")
+    count = first.files(spark).count()
+    cut = Landing(first.paths, path_pattern=first.path_pattern, files_per_wave=max(1, count // 2))
+    said = []
+
+    def lost_after_one_load(text: str) -> None:
+        said.append(text)
+        if len(said) == 2:
+            raise RuntimeError("lost")
+
+    with contextlib.suppress(RuntimeError):
+        ingest.ingest_batch(warehouse, cut, FIRST_RUN, log=lost_after_one_load)
+    ingest.ingest_batch(warehouse, whole, SECOND_RUN)
+    return _public_ledger(warehouse).drop("processed_timestamp")
+
+
 @query
 def ingest_again(spark, sf_dir):
     """A third run over the same files adds nothing."""
