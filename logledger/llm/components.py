@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logledger.llm.staging import stored
+from logledger.llm.staging import discard, stored
 
 
 def _minimum(links: DataFrame, node: str, other: str) -> DataFrame:
@@ -48,8 +48,9 @@ def components(links: DataFrame) -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
-        now = stored(small, "links")
+        held, now = now, stored(small, "links")
         before, state = state, _fingerprint(now)
+        discard(held, shuffles=False)
         if before == state:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logledger.llm.staging import free_name, stored, with_fixed
+from logledger.llm.staging import discard, free_name, if_small, stored, text_digest
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
@@ -322,11 +322,14 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that no rule rejects, with all their columns."""
-    # Stored: learning filters on the counts, which must not be pushed into their expressions.
-    stats = stored(with_stats(docs.select("doc_id", "text")).select("doc_id", "stats"), "stats")
+    # Texts are counted once; verdicts come back by the texts' digests.
+    counted = with_stats(docs.select("doc_id", "text")).withColumn("digest", text_digest())
+    stats = stored(counted.select("doc_id", "digest", "stats"), "stats")
     rules = learn(label_rows(stats, labels))
-    own, flag = free_name(docs, "_stats"), free_name(docs, "_rejected")
-    s = F.col(own)
-    rejected = base_failed(s) | (rules.number(features(s)) > 0)
-    rows = with_fixed(with_stats(docs, into=own), flag, rejected)
-    return rows.filter(~F.col(flag)).drop(own, flag)
+    number = judged(stats, rules).filter("rule_number <> 0")
+    own = free_name(docs, "_digest")
+    rejected = stored(number.select(F.col("digest").alias(own)).distinct(), "rejected")
+    discard(stats)
+    # A null text has no words: the base rule rejects it.
+    rows = docs.filter(F.col("text").isNotNull()).withColumn(own, text_digest())
+    return rows.join(if_small(rejected), own, "left_anti").drop(own)

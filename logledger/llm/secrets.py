@@ -27,7 +27,7 @@ from math import log10
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logledger.llm.staging import free_name, stored, with_fixed
+from logledger.llm.staging import SMALL_KEYS, discard, free_name, stored, text_digest, with_fixed
 
 #: Kind -> pattern, group whose length counts, least length. Fixed order of kinds.
 PATTERNS = {
@@ -404,12 +404,20 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced, all columns kept; n_chars, where there is such a
     column, follows the new text. Overlapping spans become one mark."""
-    base, candidates, spans, cuts = (free_name(docs, f"_{n}") for n in ("base", "candidates", "spans", "cuts"))
-    own = docs.select("text")
-    model = null_model(own)
-    seen = stored(scanned(own, base, candidates, model).select(candidates), "candidates")
-    secret = thresholds(seen.select(F.explode(f"{candidates}.t").alias("t")))
-    rows = scanned(docs, base, candidates, model).withColumn(spans, _all_spans(base, candidates, secret))
+    spans, cuts, own = (free_name(docs, f"_{n}") for n in ("spans", "cuts", "digest"))
+    model = null_model(docs.select("text"))
+    # Texts are scanned once; the spans of the few that have any come back by their digests.
+    seen = scanned(docs.select("text"), "base", "candidates", model).withColumn("digest", text_digest())
+    seen = stored(seen.select("digest", "base", "candidates"), "candidates")
+    secret = thresholds(seen.select(F.explode("candidates.t").alias("t")))
+    found = seen.select(F.col("digest").alias(own), _all_spans("base", "candidates", secret).alias(spans))
+    found = stored(found.filter(F.size(spans) > 0).dropDuplicates([own]), "spans")
+    rows, total = found.agg(F.count("*"), F.coalesce(F.sum(F.size(spans)), F.lit(0))).first()
+    discard(seen)
+    if rows + total <= SMALL_KEYS:
+        found = F.broadcast(found)
+    rows = docs.withColumn(own, text_digest()).join(found, own, "left")
+    rows = rows.withColumn(spans, F.coalesce(spans, F.array().cast(found.schema[spans].dataType)))
     # A span that starts before an earlier one ends adds to it and opens no mark of its own.
     rows = rows.withColumn(
         cuts,

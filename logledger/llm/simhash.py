@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from logledger.llm import golay
 from logledger.llm.components import components
-from logledger.llm.staging import free_name, stored, text_batches
+from logledger.llm.staging import free_name, if_small, stored, text_batches
 
 SHINGLE = 3
 SEED = 42
@@ -141,13 +141,19 @@ def one_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     that repeat such an id one stays; documents without an id cannot be named and all stay.
     ``found`` (doc_id, component_id) may come from another rule than the fingerprints'."""
     found = near_duplicates(docs) if found is None else found
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    first = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
+    keep = stored(first.agg((F.count("*") > 1).alias("again")), "keep")
     with_id = docs.filter(F.col("doc_id").isNotNull())
-    place = free_name(docs, "_place")
-    kept = (
-        with_id.join(keep, "doc_id", "left_semi")
-        .withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-        .filter(F.col(place) == 1)
-        .select(*docs.columns)
-    )
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    kept = with_id.join(if_small(keep.select("doc_id")), "doc_id", "left_semi")
+    again = keep.filter("again").select("doc_id")
+    if not again.isEmpty():
+        # Only rows of repeated ids are put in order.
+        place = free_name(docs, "_place")
+        one = (
+            kept.join(again, "doc_id", "left_semi")
+            .withColumn(place, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+            .filter(F.col(place) == 1)
+            .select(*docs.columns)
+        )
+        kept = kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -25,14 +25,24 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return held
 
 
-def discard(*frames: DataFrame) -> None:
+def discard(*frames: DataFrame, shuffles: bool = True) -> None:
     """Removes stored tables that no later pass reads. Files of the shuffles that made them go
     too: Spark removes those when the driver has collected its garbage, so it is asked to."""
     spark = frames[0].sparkSession
     for frame in frames:
         FileSystem(spark, frame.staged_in).delete(frame.staged_in)
-    gc.collect()
-    spark._jvm.System.gc()
+    if shuffles:
+        gc.collect()
+        spark._jvm.System.gc()
+
+
+#: Rows up to which a table of keys of some 32 bytes is broadcast: 16 MB.
+SMALL_KEYS = 500_000
+
+
+def if_small(keys: DataFrame) -> DataFrame:
+    """A stored table of short keys, marked for broadcasting if its rows are within the bound."""
+    return F.broadcast(keys) if keys.count() <= SMALL_KEYS else keys
 
 
 def free_name(frame: DataFrame, name: str) -> str:
@@ -64,3 +74,8 @@ def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def text_digest(text: str = "text") -> Column:
+    """Names a text: 32 bytes, null for null."""
+    return F.unhex(F.sha2(F.encode(F.col(text), "UTF-8"), 256))

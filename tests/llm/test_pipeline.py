@@ -9,7 +9,8 @@ import corpus_pipeline
 from logledger.llm import packing, tokens
 from llm.test_edges import brute_hits, brute_stats
 from llm.test_secrets import base_spans
-from llm.test_simhash import brute_fingerprint
+from llm.test_similar import jaccard, shingles
+from llm.test_simhash import roots
 
 
 @pytest.fixture
@@ -43,17 +44,11 @@ def test_pipeline(spark, sf_dir):
         if n >= 20 and 100 * repeated <= 30 * n:
             left[doc_id] = text
     assert 11 not in left and 12 not in left and 20 not in left
-    prints = {i: brute_fingerprint(t) for i, t in left.items()}
-    roots = {i: i for i in left}
-    for _ in left:
-        for i in left:
-            for j in left:
-                if bin(prints[i] ^ prints[j]).count("1") <= 2:
-                    roots[i] = min(roots[i], roots[j])
-        if all(roots[i] == roots[roots[i]] for i in left):
-            break
-    left = {i: t for i, t in left.items() if roots[i] == i}
-    assert 5 in left and 8 not in left
+    sets = {i: shingles(t) for i, t in left.items()}
+    near = [(i, j) for i in left for j in left if i < j and jaccard(sets[i], sets[j]) >= 0.8]
+    root = roots(left, near)
+    left = {i: t for i, t in left.items() if root[i] == i}
+    assert 5 in left and 7 not in left and 8 not in left
     left = {i: t for i, t in left.items() if not brute_hits(t, items)[1]}
     assert 3 not in left
     library = tokens.encoder(tokens.default_path()).library
