@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(q[2:].split("_")[0]) for q in llm_queries())
-    assert numbers == list(range(1, 11)) and set(llm_sql()) <= set(llm_queries())
+    assert numbers == list(range(1, 14)) and set(llm_sql()) <= set(llm_queries())
 
 
 @pytest.mark.parametrize("name", sorted(llm_queries()))
