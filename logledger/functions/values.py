@@ -52,6 +52,12 @@ def file_time(uri: Column) -> Column:
     return F.try_to_timestamp(first_group(uri, FILE_TIME_PATTERN), F.lit(FILE_TIME_FORMAT))
 
 
+def from_millis(value: Column) -> Column:
+    """Instant from milliseconds since 1970 (UTC), as object stores and table listings give
+    them; NULL stays NULL."""
+    return F.timestamp_millis(value)
+
+
 def event_time(text: Column, rule: str = "four_formats") -> Column:
     return F.try_to_timestamp(text, F.lit(EVENT_TIME_FORMATS[rule]))
 

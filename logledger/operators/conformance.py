@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from logledger.functions import json_lines as jl
 from logledger.functions import values as v
+from logledger.operators.dedup import stored
 from logledger.schemas import REQUIRED_KEYS
+from logledger.sources.files import shared_folder
 
 # Names of the rules, integer keys, number of examples, ISO time shape.
 RULES = ("json", "missing", "int_cast", "ts")
@@ -70,25 +72,20 @@ def judge_lines(lines: DataFrame) -> DataFrame:
 
 def conformance_counts(lines: DataFrame) -> DataFrame:
     """Lines, good lines and errors of each file."""
-    judged = judge_lines(lines).groupBy("gcs_uri")
+    return _counts(judge_lines(lines))
+
+
+def _counts(judged: DataFrame) -> DataFrame:
     is_line, error = F.col("is_line"), F.col("error")
-    return judged.agg(
+    return judged.groupBy("gcs_uri").agg(
         F.count_if(is_line).alias("lines"),
         F.count_if(is_line & error.isNull()).alias("ok"),
         F.count_if(error.isNotNull()).alias("errors"),
     )
 
 
-def conformance_examples(numbered: DataFrame, limit: int = EXAMPLES) -> DataFrame:
-    """The first non-empty lines of each file with their line numbers and verdicts.
-
-    ``numbered`` comes from ``Landing.numbered_lines``. Text carries no line numbers, and a
-    file read in several splits has no single reader that could count. So lines are counted
-    per split, the counts before a split are added up per file, and a line's number is that
-    sum plus its place in the split. No file has to fit in one task: the window over lines
-    keeps at most ``limit`` rows per file in every task before it shuffles, and the sums run
-    over one row per split.
-    """
+def _split_offsets(numbered: DataFrame) -> DataFrame:
+    """What to add to a line's ``read_id`` to get its number in the file, per split."""
     splits = numbered.groupBy("gcs_uri", "split_start").agg(
         F.count("*").alias("n"), F.min("read_id").alias("first_id")
     )
@@ -98,18 +95,18 @@ def conformance_examples(numbered: DataFrame, limit: int = EXAMPLES) -> DataFram
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offset = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first_id") + 1
-    splits = splits.select("gcs_uri", "split_start", offset.alias("to_line"))
+    return splits.select("gcs_uri", "split_start", offset.alias("to_line"))
+
 
+def _first_lines(lines: DataFrame, limit: int) -> DataFrame:
     in_file = Window.partitionBy("gcs_uri").orderBy("split_start", "read_id")
-    first = (
-        numbered.filter(~v.is_blank(F.col("data")))
-        .withColumn("place", F.row_number().over(in_file))
-        .filter(F.col("place") <= limit)
-        .drop("place")
-    )
-    placed = first.join(splits, ["gcs_uri", "split_start"])
+    placed = lines.withColumn("place", F.row_number().over(in_file))
+    return placed.filter(F.col("place") <= limit).drop("place")
+
+
+def _examples(judged: DataFrame, splits: DataFrame) -> DataFrame:
     ok = F.col("error").isNull()
-    return judge_lines(placed).select(
+    return judged.join(splits, ["gcs_uri", "split_start"]).select(
         "gcs_uri",
         (F.col("read_id") + F.col("to_line")).alias("line"),
         "error",
@@ -117,12 +114,33 @@ def conformance_examples(numbered: DataFrame, limit: int = EXAMPLES) -> DataFram
     )
 
 
-def conformance(numbered: DataFrame) -> DataFrame:
-    """Per file: lines, ok, errors, and an array with the first three lines' verdicts."""
+def conformance_examples(numbered: DataFrame, limit: int = EXAMPLES) -> DataFrame:
+    """The first non-empty lines of each file with their line numbers and verdicts.
+
+    ``numbered`` comes from ``Landing.numbered_lines``. Text carries no line numbers, and a
+    file read in several splits has no single reader that could count. So lines are counted
+    per split, the counts before a split are added up per file, and a line's number is that
+    sum plus its place in the split. No file has to fit in one task: the window over lines
+    keeps at most ``limit`` rows per file in every task before it shuffles, and the sums run
+    over one row per split.
+    """
+    first = _first_lines(numbered.filter(~v.is_blank(F.col("data"))), limit)
+    return _examples(judge_lines(first), _split_offsets(numbered))
+
+
+def conformance(numbered: DataFrame, scratch: str | None = None) -> DataFrame:
+    """Per file: lines, ok, errors, and an array with the first three lines' verdicts; NULL for
+    a file of blank lines only. The text is read and judged once, into a table of verdicts
+    without the text in the folder ``scratch`` (unless given, a new shared one); counts, line
+    numbers and examples come from it.
+    (Lines of one split keep the ids they were read with, so numbers do not depend on how the
+    verdicts are read again.)"""
+    scratch = scratch or shared_folder(numbered.sparkSession, "verdicts")
+    judged = stored(judge_lines(numbered).drop("data"), scratch)
+    first = _first_lines(judged.filter("is_line"), EXAMPLES)
     example = F.struct("line", "error", "cust_id", "event_dt", "filename")
     # At most three rows per file are collected.
-    examples = conformance_examples(numbered).groupBy("gcs_uri").agg(
+    examples = _examples(first, _split_offsets(judged)).groupBy("gcs_uri").agg(
         F.array_sort(F.collect_list(example)).alias("examples")
     )
-    counts = conformance_counts(numbered.select("gcs_uri", "data"))
-    return counts.join(examples, "gcs_uri", "left")
+    return _counts(judged).join(examples, "gcs_uri", "left")

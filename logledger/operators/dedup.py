@@ -7,6 +7,8 @@ Spark puts below a ``row_number() == 1`` window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +106,37 @@ def dedup_base(base: DataFrame) -> DataFrame:
     return kept.unionByName(base.filter(none))
 
 
+def first_addresses(rows: DataFrame, address: Sequence[str]) -> DataFrame:
+    """Of each file and row hash that more than one row has: where the earliest loaded row lies,
+    as (uri, row, *address). Equal load times: the smallest address. Rows are counted map-side,
+    so a hot key sends one row per task; only the key, the load time and the address travel."""
+    uri, row = base_key()
+    place = F.struct("load_time_dt", *address)
+    narrow = rows.select(uri.alias("uri"), row.alias("row"), place.alias("place"))
+    first = narrow.filter("row IS NOT NULL").groupBy("uri", "row").agg(
+        F.min("place").alias("place"), F.count("*").alias("n")
+    )
+    return first.filter("n > 1").select("uri", "row", *[f"place.{a}" for a in address])
+
+
+def keep_addressed(
+    rows: DataFrame, first: DataFrame, address: Sequence[str], broadcast: bool = False
+) -> DataFrame:
+    """Rows but those whose key ``first`` places elsewhere. The right side has each key once: a
+    hot key is a hot left partition only, which AQE can split. ``broadcast``: the caller has
+    checked that ``first`` is small; the rows, texts and all, are then not shuffled here."""
+    uri, row = base_key()
+    names = {a: f"kept{a}" for a in address}
+    first = first.withColumnsRenamed(names | {"uri": "key_uri", "row": "key_row"})
+    same = uri.eqNullSafe(F.col("key_uri")) & (row == F.col("key_row"))
+    found = rows.join(F.broadcast(first) if broadcast else first, same, "left")
+    here = F.lit(True)
+    for a, b in names.items():
+        here = here & (F.col(a) == F.col(b))
+    kept = found.filter(F.col("key_row").isNull() | here)
+    return kept.select(*[c for c in rows.columns if c not in address])
+
+
 def folders_with_copies(base: DataFrame, folder: list[str]) -> DataFrame:
     """Folders (the columns ``folder``) that hold a row some other row equals in file and
     row hash. Rows are counted per key and folder first, so even a key that a third of all

@@ -15,7 +15,11 @@ from logledger.sources.warehouse import VersionConflict, Warehouse
 
 def record_snapshot(warehouse: Warehouse, landing: Landing, now: datetime) -> DataFrame:
     """Checks the pipeline, appends the snapshot, returns the latest alert row."""
-    files = landing.files(warehouse.spark)
+    return append_snapshot(warehouse, landing.files(warehouse.spark), now)
+
+
+def append_snapshot(warehouse: Warehouse, files: DataFrame, now: datetime) -> DataFrame:
+    """The same for raw files (gcs_uri) that have been listed already."""
     row = monitoring_snapshot(files, warehouse.read("ledger"), now)
     name = f"check-{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
     warehouse.append("monitoring", row, name)

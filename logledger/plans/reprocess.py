@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from logledger.functions import values as v
 from logledger.operators import dedup
 from logledger.operators import ledger as lg
-from logledger.sources.warehouse import Warehouse
+from logledger.sources.warehouse import ADDRESS, Warehouse
 
 # Statuses that call for another try.
 UNFINISHED = ("FAILED", "PARTIAL")
 
+# Addresses of kept rows up to this size are broadcast; more are joined by shuffling.
+BROADCAST_BYTES = 64 * 1024**2
+
 
 def _batch(what: str) -> str:
     return f"{what}-{uuid4().hex[:12]}"
@@ -75,7 +78,8 @@ def drop_superseded_ledger_rows(warehouse: Warehouse) -> int:
 
 def deduplicate_base(warehouse: Warehouse) -> int:
     """Keeps the earliest base row per file and row hash. All copies of a row lie in folders
-    that hold a repeated key, so only these are read in full, sorted and written again."""
+    that hold a repeated key, so only these are read in full and written again. Which rows stay
+    is found from keys, load times and addresses; the rows themselves are never sorted for it."""
     based_on = warehouse.version()
     batch = _batch("dedup")
     rows = warehouse.read_folders("base", warehouse.folders("base"), with_batch=True)
@@ -83,6 +87,13 @@ def deduplicate_base(warehouse: Warehouse) -> int:
     touched = warehouse.folders_of("base", copies)
     if not touched:
         return based_on
-    kept = dedup.dedup_base(warehouse.read_folders("base", touched))
+    scratch = f"{warehouse.root}/_runs/{batch}"
+    rows = warehouse.read_folders("base", touched, with_address=True)
+    first = dedup.stored(dedup.first_addresses(rows, ADDRESS), scratch)
+    sizes = F.sum(sum((F.octet_length(c) for c in ("uri", "row", ADDRESS[0])), F.lit(32)))
+    small = first.agg(F.coalesce(sizes, F.lit(0))).first()[0] <= BROADCAST_BYTES
+    kept = dedup.keep_addressed(rows, first, ADDRESS, broadcast=small)
     change = warehouse.replace_rows("base", touched, kept, batch)
-    return warehouse.commit(change, based_on=based_on)
+    version = warehouse.commit(change, based_on=based_on)
+    warehouse.files.delete(scratch)
+    return version

@@ -113,13 +113,15 @@ REQUIRED_KEYS = (
 
 @dataclass(frozen=True)
 class Table:
-    """A stored table: its columns, the date it is partitioned by, its sort order in files."""
+    """A stored table: its columns, the date it is partitioned by, its sort order in files, and
+    the columns that single values are looked up by without the order helping."""
 
     name: str
     schema: StructType
     partition: str | None = None
     partition_source: str | None = None
     sort: tuple[str, ...] = ()
+    lookup: tuple[str, ...] = ()
 
     def partition_value(self) -> Column:
         return F.to_date(self.partition_source)
@@ -128,8 +130,15 @@ class Table:
 TABLES = {
     t.name: t
     for t in (
-        Table("base", BASE, "event_date", "event_dt", ("source", "cust_id")),
-        Table("archive", ARCHIVE, "archived_date", "archived_timestamp"),
+        Table(
+            "base",
+            BASE,
+            "event_date",
+            "event_dt",
+            ("source", "cust_id"),
+            ("gcs_uri", "hash_fingerprint"),
+        ),
+        Table("archive", ARCHIVE, "archived_date", "archived_timestamp", lookup=("gcs_uri",)),
         Table("ledger", LEDGER, sort=("gcs_uri",)),
         Table("monitoring", MONITORING),
     )

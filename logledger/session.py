@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     # JSON objects that name a key twice are read, the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Conditions that list values reach the Bloom filters one by one (sources.warehouse.FEW_KEYS).
+    "spark.sql.parquet.pushdown.inFilterThreshold": "100",
     # AQE picks broadcast or sort-merge from measured sizes, splits skewed join sides,
     # and sizes the write partitions of the REBALANCE hint.
     "spark.sql.adaptive.enabled": "true",

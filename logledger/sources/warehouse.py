@@ -28,6 +28,10 @@ _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 _BATCH = "batch"
 _MERGED = "-merged"
 _STAMP = re.compile(r"/batch=(\d{8}T\d{6})-")
+# Values a condition may list: each is tested against the Bloom filter of each row group.
+FEW_KEYS = 100
+# File and row number of a stored row; see ``read_folders``.
+ADDRESS = ("_file", "_row")
 
 
 class VersionConflict(RuntimeError):
@@ -224,7 +228,20 @@ class Warehouse:
                 break
         return self.read_folders(table, chosen)
 
-    def read_folders(self, table: str, folders: list[str], with_batch: bool = False) -> DataFrame:
+    def find(self, table: str, column: str, values: Iterable[str]) -> DataFrame:
+        """Rows with one of a few values. Row groups whose dictionary or Bloom filter says that
+        they hold none of them are not read (columns in ``Table.lookup``)."""
+        return self.read(table).filter(F.col(column).isin(*values))
+
+    def read_folders(
+        self,
+        table: str,
+        folders: list[str],
+        with_batch: bool = False,
+        with_address: bool = False,
+    ) -> DataFrame:
+        """Rows of some folders. ``with_address`` adds ADDRESS, which tells equal rows apart:
+        stored files never change, so it is the same on every reading."""
         spec, schema = TABLES[table], self.schema(table)
         layout = [StructField(_BATCH, StringType())]
         if spec.partition:
@@ -238,8 +255,14 @@ class Warehouse:
             )
         else:
             rows = self.spark.createDataFrame([], full)
-        hidden = [] if with_batch else [_BATCH]
-        return rows.select(*[c for c in full.names if c not in hidden])
+        columns = [F.col(c) for c in full.names if with_batch or c != _BATCH]
+        if with_address and folders:
+            address = ("_metadata.file_path", "_metadata.row_index")
+            columns += [F.col(c).alias(a) for c, a in zip(address, ADDRESS, strict=True)]
+        elif with_address:
+            types = ("string", "bigint")
+            columns += [F.lit(None).cast(t).alias(a) for t, a in zip(types, ADDRESS, strict=True)]
+        return rows.select(*columns)
 
     # -- writing ----------------------------------------------------------------------
 
@@ -259,7 +282,7 @@ class Warehouse:
         elif spec.sort:
             out = out.hint("rebalance").sortWithinPartitions(*spec.sort)
         folder = f"{table}/{_BATCH}={batch}"
-        writer = out.write.mode("overwrite")
+        writer = out.write.mode("overwrite").options(**_bloom_filters(spec))
         if not spec.partition:
             writer.parquet(f"{self.root}/{folder}")
             return Change(table, [folder])
@@ -297,7 +320,15 @@ class Warehouse:
     ) -> Change:
         """Stages a deletion by condition, or by key set (``keys`` has the column ``on``).
         Only folders holding such rows are rewritten; finding them reads only the columns
-        of the condition. A row for which the condition is NULL stays."""
+        of the condition. A row for which the condition is NULL stays. At most FEW_KEYS keys
+        become a condition that the scan can use; more are joined."""
+        if keys is not None:
+            some = keys.select(on).filter(F.col(on).isNotNull()).distinct()
+            few = [r[0] for r in some.limit(FEW_KEYS + 1).collect()]
+            if not few:
+                return Change(table)
+            if len(few) <= FEW_KEYS:
+                where, keys = F.col(on).isin(*few), None
         rows = self.read_folders(table, self.folders(table), with_batch=True)
         if keys is None:
             doomed = rows.filter(where)
@@ -395,6 +426,17 @@ class Warehouse:
         )
 
 
+def _bloom_filters(spec: Table) -> dict[str, str]:
+    """Writer options: a Bloom filter in each row group for each lookup column, of the size
+    that its distinct values need (2 kB to 1 MB). Parquet leaves it out where a dictionary
+    holds all values, which then serves the same purpose."""
+    if not spec.lookup:
+        return {}
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in spec.lookup}
+    sized = {"adaptive.enabled": "true", "candidates.number": "10", "max.bytes": str(1024**2)}
+    return options | {f"parquet.bloom.filter.{k}": v for k, v in sized.items()}
+
+
 def partition_date(folder: str) -> str | None:
     """Partition date in a folder name; None for a table without partitions."""
     last = folder.rsplit("/", 1)[-1]

@@ -121,3 +121,36 @@ def test_superseded_rows_go_ties_stay(spark):
 def test_repeated_files_list_their_times_in_order(spark):
     found = lg.repeated_files(ledger(spark, ("a", 5, 1), ("a", 0, 1), ("b", 1, 1)))
     assert rows(found) == [("a", 2, [NOW, NOW + timedelta(minutes=5)])]
+
+
+def test_first_addresses_keep_what_the_window_keeps(spark):
+    """Ties in load time go by address; NULL file names are equal to each other; rows with
+    neither hash nor fingerprint stay."""
+    later = NOW + timedelta(hours=1)
+    data = [
+        ("a", 1, "m", NOW, "f", 2),
+        ("a", 1, "n", later, "f", 0),
+        ("a", 1, "o", NOW, "e", 9),
+        ("b", 1, "m", NOW, "f", 3),
+        (None, 1, "m", later, "f", 4),
+        (None, 1, "m", NOW, "f", 5),
+        ("a", None, "m", NOW, "f", 6),
+        ("a", None, "m", NOW, "f", 7),
+        ("a", None, None, NOW, "f", 8),
+        ("a", None, None, NOW, "f", 9),
+    ]
+    base = spark.createDataFrame(
+        data,
+        "gcs_uri string, hash_code bigint, hash_fingerprint string, load_time_dt timestamp,"
+        " _file string, _row bigint",
+    )
+    for some in (base, base.limit(0)):
+        first = dedup.first_addresses(some, ("_file", "_row"))
+        for broadcast in (True, False):
+            marked = some.withColumn("n", F.concat("_file", F.col("_row").cast("string")))
+            kept = dedup.keep_addressed(marked, first, ("_file", "_row"), broadcast)
+            assert kept.columns == [*base.columns[:4], "n"]
+            found = sorted(r.n for r in kept.collect())
+            assert found == (["e9", "f3", "f5", "f6", "f8", "f9"] if some is base else [])
+            plain = dedup.dedup_base(some.drop("_file", "_row"))
+            assert plain.count() == len(found)

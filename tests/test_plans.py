@@ -14,6 +14,7 @@ from logledger.operators.ledger import latest_rows
 from logledger.operators.lines import parse_lines
 from logledger.plans.ingest import ingest_batch
 from logledger.plans.reports import business, health, volume
+from logledger.sources.warehouse import ADDRESS
 
 
 @pytest.fixture(autouse=True)
@@ -144,3 +145,68 @@ def test_only_folders_of_recent_runs_are_opened(spark, warehouse, folder):
     recent = warehouse.read("base", since=NOW + timedelta(days=1, hours=23))
     assert recent.count() == 1 and len(recent.inputFiles()) == 1
     assert warehouse.read("base").count() == 3
+
+
+def rows_scanned(frame):
+    """Rows that the scan of a frame with one scan handed on: those of row groups it read."""
+    executed = frame._jdf.queryExecution().executedPlan()
+    executed.execute().count()
+    return executed.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("column", ["hash_fingerprint", "gcs_uri"])
+def test_a_lookup_skips_row_groups(spark, warehouse, column):
+    """Twenty loads of one date: ranges of names and fingerprints overlap, so minima and maxima
+    rule nothing out."""
+    for load in range(20):
+        lines = spark.range(load, 4000, 20, 1).select(
+            F.format_string("x/%d.json", F.col("id") * 7919 % 4000).alias("gcs_uri"),
+            F.format_string(
+                '{"EventDt":"2026-01-28T00:00:00Z","UserName":"%d"}', F.col("id")
+            ).alias("data"),
+        )
+        warehouse.append("base", parse_lines(lines, NOW), f"b{load}")
+    assert len(warehouse.read("base").inputFiles()) == 20
+    value = warehouse.read("base").filter("user_name = '1234'").first()[column]
+    for found in (
+        warehouse.find("base", column, [value]),
+        warehouse.find("base", column, [value, "absent"]),
+        warehouse.read("base").filter(F.col(column) == value),
+    ):
+        assert [r.user_name for r in found.collect()] == ["1234"]
+        # One in twenty row groups holds it; a filter errs once in a hundred times.
+        assert rows_scanned(found) <= 600
+    absent = warehouse.find("base", column, ["absent"])
+    assert absent.count() == 0 and rows_scanned(absent) <= 400
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_kept_rows_are_found_without_sorting_texts(loaded, tmp_path, small):
+    spark = loaded.spark
+    rows = loaded.read_folders("base", loaded.folders("base"), with_address=True)
+    first = dedup.first_addresses(rows, ADDRESS)
+    text = plan(first)
+    assert "raw_data" not in text and "Window" not in text
+    stored = dedup.stored(first, f"file:{tmp_path}/first")
+    text = plan(dedup.keep_addressed(rows, stored, ADDRESS, broadcast=small))
+    assert "Window" not in text
+    if small:
+        assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_conformance_reads_the_text_once(spark, folder, monkeypatch):
+    folder.put(name("a"), [record(1), "", "broken", record(2)])
+    plans = []
+
+    def stored(rows, where):
+        plans.append(plan(rows))
+        return dedup.stored(rows, where)
+
+    monkeypatch.setattr(cf, "stored", stored)
+    report = cf.conformance(folder.landing.numbered_lines(spark))
+    (first,) = plans
+    assert first.count("Scan text") == 2  # once in the tree, once in the details
+    assert "Scan text" not in plan(report)
+    (row,) = report.collect()
+    assert (row.lines, row.ok, row.errors) == (3, 2, 1)
+    assert [e.line for e in row.examples] == [1, 3, 4]

@@ -173,6 +173,22 @@ SNAPSHOT_PARTS = {
 }
 
 
+# The same at two moments: the counts are joined to each of them.
+TWO_SNAPSHOTS = {
+    "moments": "SELECT now FROM clock UNION ALL SELECT now - INTERVAL 1 DAY FROM clock",
+    "snap": """SELECT now, hour AS done_1h, (SELECT count(*) FROM waiting) AS pending,
+      round(100.0 * bad / nullif(day, 0), 2) AS error_pct, oldest, stale
+    FROM (SELECT c.now, count(l.gcs_uri) FILTER (l.processed_timestamp >= c.now - INTERVAL 1 HOUR)
+          AS hour, count(l.gcs_uri) AS day, count(*) FILTER (l.status <> 'SUCCESS') AS bad
+        FROM moments c LEFT JOIN ledger l ON l.processed_timestamp >= c.now - INTERVAL 24 HOURS
+        GROUP BY c.now)
+      JOIN (SELECT now, max(age) AS oldest, count(*) FILTER (age > 30) AS stale
+        FROM (SELECT now, date_sub('minute', file_time, now) AS age FROM moments, waiting)
+        GROUP BY now) USING (now)""",
+    "snapshot": SNAPSHOT_PARTS["snapshot"],
+}
+
+
 def all_sql() -> dict[str, str]:
     lenient = """SELECT *, CASE WHEN doc IS NULL THEN '{}' ELSE doc END AS readable FROM docs
       WHERE regexp_matches(data, '^\\s*\\{')"""
@@ -306,6 +322,52 @@ def all_sql() -> dict[str, str]:
             places="""SELECT gcs_uri, slot,
               row_number() OVER (PARTITION BY gcs_uri ORDER BY slot) AS line FROM lines""",
         ),
+        "conformance_report": _sql(
+            """SELECT f.gcs_uri, count(v.slot) AS lines,
+              count(v.slot) FILTER (v.error IS NULL) AS ok, count(v.error) AS errors,
+              string_agg(concat(line, ' ', coalesce(error, concat_ws(' ', 'ok', cust_id, filename))),
+                ';' ORDER BY line) FILTER (nth <= 3) AS first_lines
+            FROM files f LEFT JOIN told v USING (gcs_uri) GROUP BY f.gcs_uri""",
+            verdict=VERDICT,
+            places="""SELECT gcs_uri, slot,
+              row_number() OVER (PARTITION BY gcs_uri ORDER BY slot) AS line FROM lines""",
+            told="""SELECT *, row_number() OVER (PARTITION BY gcs_uri ORDER BY line) AS nth
+              FROM verdict JOIN places USING (gcs_uri, slot)""",
+        ),
+        "lookup_fingerprint": _sql(
+            f"""SELECT {BASE_COLUMNS} FROM base
+              WHERE hash_fingerprint = (SELECT max(hash_fingerprint) FROM base)"""
+        ),
+        "lookup_files": _sql(
+            """SELECT gcs_uri, count(*) AS base_rows FROM base WHERE gcs_uri IN
+              (SELECT DISTINCT gcs_uri FROM ledger WHERE status = 'PARTIAL' ORDER BY 1 LIMIT 3)
+            GROUP BY gcs_uri"""
+        ),
+        "added_column": _sql(
+            """SELECT gcs_uri, status, NULL::VARCHAR AS reviewed_by FROM ledger UNION ALL
+            SELECT gcs_uri, 'FAILED', 'night shift' FROM waiting"""
+        ),
+        "refused_nulls": _sql(f"SELECT {LEDGER_COLUMNS} FROM ledger"),
+        "millis_to_instants": "SELECT event_id, date_trunc('millisecond', ts) AS event_time FROM events",
+        "append_snapshots": _sql("SELECT * FROM snapshot", **TWO_SNAPSHOTS),
+        "alert_after_snapshots": _sql(
+            """SELECT 'before' AS asked, 'NO_ROWS' AS status, NULL::VARCHAR AS details UNION ALL
+            (SELECT 'after', status, details FROM snapshot ORDER BY check_time DESC LIMIT 1)""",
+            **TWO_SNAPSHOTS,
+        ),
+        "storage_growth": _sql(
+            """SELECT 'base' AS table_name, count(*) AS row_count, true AS has_size,
+              true AS has_files FROM base
+            UNION ALL SELECT 'archive', count(*), true, true FROM archive
+            UNION ALL SELECT 'ledger', count(*), true, true FROM ledger
+            UNION ALL SELECT 'monitoring', 0, true, false"""
+        ),
+        "ingest_late_events": _sql(
+            """SELECT gcs_uri, CAST(CAST(event_dt AS DATE) AS VARCHAR) AS event_date, count(*) AS n
+            FROM rows WHERE file_no % 5 = 0 OR hash_fingerprint NOT IN
+              (SELECT hash_fingerprint FROM rows WHERE file_no % 5 = 0)
+            GROUP BY ALL"""
+        ),
         "r01_pipeline_status": _sql(
             f"""SELECT 'Pipeline Status - Last 24 Hours' AS report, count(*) AS total_files,
               {STATUS_COUNTS}, CAST(sum(rows_loaded) AS BIGINT) AS total_rows_loaded,
@@ -514,7 +576,7 @@ def all_sql() -> dict[str, str]:
     }
     q["dedup_history_any_date"] = q["dedup_history"]
     q["ingest_batch_waves"] = q["ingest_batch_ledger"]
-    for name in ("ingest_stream_ledger", "ingest_stream_small_triggers", "ingest_again"):
+    for name in ("ingest_stream_ledger", "ingest_stream_small_triggers", "ingest_again", "ingest_stream_trigger"):
         q[name] = q["ingest_batch_ledger"]
     columns = LEDGER_COLUMNS.replace("processed_timestamp, ", "")
     q["ingest_after_failure"] = _sql(f"SELECT {columns} FROM two_runs")

@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
 from logledger.functions import values as v
 from logledger.operators import conformance as cf
@@ -16,12 +17,12 @@ from logledger.operators import dedup
 from logledger.operators import ledger as lg
 from logledger.operators import lines as ln
 from logledger.options import VARIANTS, IngestOptions
-from logledger.plans import ingest, reprocess
+from logledger.plans import ingest, monitoring, reprocess
 from logledger.plans.reports import backlog, business, health, quality, reprocessing, volume
 from logledger.sources.files import shared_folder
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import Warehouse
-from logledger.streaming.ingest_stream import run_scheduled
+from logledger.streaming.ingest_stream import run_scheduled, start_stream
 from workload import fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,10 @@ class Stored:
     lines: DataFrame
     now: datetime
 
+    def loaded_last_day(self) -> DataFrame:
+        """Base without the folders of older runs."""
+        return self.warehouse.read("base", since=self.now - timedelta(days=1))
+
     def __getattr__(self, table: str) -> DataFrame:
         if table in ("base", "archive", "ledger", "monitoring"):
             return self.warehouse.read(table)
@@ -403,6 +408,38 @@ def ingest_stream_archive(spark, sf_dir):
     return rows.withColumn("gcs_uri", fx.public_uri()).drop("archived_date")
 
 
+@query
+def ingest_stream_trigger(spark, sf_dir):
+    """The two loads by a stream that looks for files at intervals."""
+    warehouse, checkpoint = _empty(spark), shared_folder(spark, "stream")
+    loads = ((history_landing(spark, sf_dir), FIRST_RUN),)
+    loads += ((Landing((f"{_landing(spark, sf_dir)}/pending",)), SECOND_RUN),)
+    for number, (landing, run) in enumerate(loads):
+        stream = start_stream(
+            warehouse,
+            landing,
+            f"{checkpoint}/{number}",
+            clock=lambda now=run: now,
+            every="1 second",
+            files_per_trigger=10**9,
+        )
+        stream.processAllAvailable()
+        stream.stop()
+    return _public_ledger(warehouse)
+
+
+@query
+def ingest_late_events(spark, sf_dir):
+    """The pending files first, then the others, most of whose events are older: rows per file
+    and date of the event."""
+    warehouse = _empty(spark)
+    pending = Landing((f"{_landing(spark, sf_dir)}/pending",))
+    ingest.ingest_batch(warehouse, pending, FIRST_RUN)
+    ingest.ingest_batch(warehouse, history_landing(spark, sf_dir), SECOND_RUN)
+    rows = warehouse.read("base").groupBy("gcs_uri", "event_date").agg(F.count("*").alias("n"))
+    return rows.withColumn("gcs_uri", fx.public_uri())
+
+
 def _state(warehouse: Warehouse) -> DataFrame:
     """Per file: base rows, archived lines, and when and how it was processed."""
     counts = (
@@ -489,6 +526,91 @@ def conformance_examples(spark, sf_dir):
     return rows.withColumn("gcs_uri", fx.public_uri())
 
 
+@query
+def conformance_report(spark, sf_dir):
+    """Counts and first lines of every file from one reading of the text."""
+    rows = cf.conformance(whole_landing(spark, sf_dir).numbered_lines(spark))
+    told = F.transform(
+        "examples",
+        lambda e: F.concat(
+            e["line"].cast("string"),
+            F.lit(" "),
+            F.coalesce(e["error"], F.concat_ws(" ", F.lit("ok"), e["cust_id"], e["filename"])),
+        ),
+    )
+    rows = rows.withColumn("first_lines", F.array_join(told, ";")).drop("examples")
+    return rows.withColumn("gcs_uri", fx.public_uri())
+
+
+# -- tables ---------------------------------------------------------------------------
+
+
+@query
+def lookup_fingerprint(spark, sf_dir):
+    """Base rows with one fingerprint, the greatest there is."""
+    tables = stored(spark, sf_dir).warehouse
+    greatest = tables.read("base").agg(F.max("hash_fingerprint")).first()[0]
+    return tables.find("base", "hash_fingerprint", [greatest]).drop("event_date")
+
+
+@query
+def lookup_files(spark, sf_dir):
+    """Base rows of the unfinished files among the first by name."""
+    s = stored(spark, sf_dir)
+    bad = s.ledger.filter("status = 'PARTIAL'").select("gcs_uri").distinct()
+    names = [r[0] for r in bad.orderBy("gcs_uri").limit(3).collect()]
+    return lg.rows_per_file(s.warehouse.find("base", "gcs_uri", names), "base_rows")
+
+
+@query
+def append_snapshots(spark, sf_dir):
+    """The monitoring table after checks at two moments."""
+    s, tables = stored(spark, sf_dir), fx.build_tables(spark, sf_dir)
+    for now in (s.now - timedelta(days=1), s.now):
+        monitoring.append_snapshot(tables, s.files, now)
+    return tables.read("monitoring")
+
+
+@query
+def alert_after_snapshots(spark, sf_dir):
+    """What is answered before any check, and by a check after an earlier one."""
+    s, tables = stored(spark, sf_dir), fx.build_tables(spark, sf_dir)
+    before = health.latest_alert(tables.read("monitoring")).withColumn("asked", F.lit("before"))
+    monitoring.append_snapshot(tables, s.files, s.now - timedelta(days=1))
+    after = monitoring.append_snapshot(tables, s.files, s.now).withColumn("asked", F.lit("after"))
+    return before.unionByName(after)
+
+
+@query
+def added_column(spark, sf_dir):
+    """Ledger rows from before and after a column was added."""
+    s, tables = stored(spark, sf_dir), fx.build_tables(spark, sf_dir)
+    tables.add_column("ledger", StructField("reviewed_by", StringType()))
+    pending = lg.not_in_ledger(s.files, s.ledger)
+    rows = lg.failure_rows(pending, RuntimeError("late"), v.instant(SECOND_RUN), None)
+    tables.append("ledger", rows.withColumn("reviewed_by", F.lit("night shift")), "second")
+    return tables.read("ledger").select("gcs_uri", "status", "reviewed_by")
+
+
+@query
+def refused_nulls(spark, sf_dir):
+    """A write in which some required values are NULL fails as a whole and leaves the table as
+    it was."""
+    s, tables = stored(spark, sf_dir), fx.build_tables(spark, sf_dir)
+    some = F.when(F.col("status") == "SUCCESS", F.col("originating_filename"))
+    with contextlib.suppress(Exception):
+        tables.append("ledger", s.ledger.withColumn("originating_filename", some), "nulls")
+    return tables.read("ledger").drop("processing_duration_seconds")
+
+
+@query
+def millis_to_instants(spark, sf_dir):
+    """Event times that went through milliseconds."""
+    events = fx.events(spark, sf_dir)
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    return events.select("event_id", v.from_millis(millis).alias("event_time"))
+
+
 # -- reports --------------------------------------------------------------------------
 
 
@@ -534,13 +656,13 @@ def r05_row_reconciliation(spark, sf_dir):
 @query
 def r06_null_check(spark, sf_dir):
     s = stored(spark, sf_dir)
-    return quality.null_check(s.base, s.now)
+    return quality.null_check(s.loaded_last_day(), s.now)
 
 
 @query
 def r07_cast_failures(spark, sf_dir):
     s = stored(spark, sf_dir)
-    return quality.cast_failures(s.base, s.now)
+    return quality.cast_failures(s.loaded_last_day(), s.now)
 
 
 @query
@@ -551,7 +673,7 @@ def r08_duplicate_files(spark, sf_dir):
 @query
 def r09_duplicate_rows(spark, sf_dir):
     s = stored(spark, sf_dir)
-    return quality.duplicate_rows(s.base, s.now)
+    return quality.duplicate_rows(s.loaded_last_day(), s.now)
 
 
 @query
@@ -639,7 +761,14 @@ def r22_stale_files(spark, sf_dir):
 
 @query
 def storage_growth(spark, sf_dir):
-    return volume.storage_growth(stored(spark, sf_dir).warehouse)
+    """Sizes and times of change differ from run to run: whether they are there."""
+    rows = volume.storage_growth(stored(spark, sf_dir).warehouse)
+    return rows.select(
+        "table_name",
+        "row_count",
+        (F.col("size_gb") >= 0).alias("has_size"),
+        F.col("last_modified").isNotNull().alias("has_files"),
+    )
 
 
 @query
