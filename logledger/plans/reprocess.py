@@ -1,4 +1,4 @@
-"""Preparing files for another load, and removing duplicates from the tables.
+"""Preparing files for another load, removing duplicates, and ordering stored rows.
 
 Each operation removes ledger and base rows in one commit and keeps the archive; the next
 ingestion run then loads the files again.
@@ -6,7 +6,7 @@ ingestion run then loads the files again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 from uuid import uuid4
 
@@ -97,3 +97,9 @@ def deduplicate_base(warehouse: Warehouse) -> int:
     version = warehouse.commit(change, based_on=based_on)
     warehouse.files.delete(scratch)
     return version
+
+
+def cluster_base(warehouse: Warehouse, dates: Iterable[str]) -> int:
+    """Writes the base rows of some dates anew, clustered by source and customer. Rows loaded
+    meanwhile are no conflict; a deletion in these dates is."""
+    return warehouse.commit_if_any(warehouse.cluster("base", dates, _batch("cluster")))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from logledger.operators.clustering import in_curve_order
 from logledger.schemas import TABLES, Table
 from logledger.sources.files import FileSystem
 
@@ -266,15 +267,18 @@ class Warehouse:
 
     # -- writing ----------------------------------------------------------------------
 
-    def stage(self, table: str, rows: DataFrame, batch: str) -> Change:
+    def stage(self, table: str, rows: DataFrame, batch: str, ordered: bool = False) -> Change:
         """Writes rows to a new batch without making them visible. Repeating it with the
-        same batch name overwrites, so a retry leaves one copy."""
+        same batch name overwrites, so a retry leaves one copy. ``ordered``: the rows come
+        distributed and sorted, by partition date first, and stay as they are."""
         spec = TABLES[table]
         schema = self.schema(table)
         out = rows.select(*[_not_null(f, table) for f in schema])
         if spec.partition:
             out = out.withColumn(spec.partition, spec.partition_value())
-        if spec.partition and spec.sort:
+        if ordered:
+            pass
+        elif spec.partition and spec.sort:
             # REBALANCE: one shuffle by date. AQE splits a date that outgrows a task and
             # joins small ones, so neither a hot date nor many small files arise.
             out = out.hint("rebalance", F.col(spec.partition))
@@ -370,6 +374,20 @@ class Warehouse:
         rows = self.read_folders(table, crowded)
         return self.replace_rows(table, crowded, rows, batch + _MERGED)
 
+    def cluster(self, table: str, dates: Iterable[str], batch: str) -> Change:
+        """Stages the rows of some partition dates in an order that serves each of the table's
+        sort columns (``operators.clustering``), for dates too large for one file: a load sorts
+        within its tasks only. Such folders count as merged."""
+        spec = TABLES[table]
+        folders = self.folders(table, dates)
+        if not folders:
+            return Change(table)
+        rows = self.read_folders(table, folders, with_address=True)
+        rows = in_curve_order(rows, spec.sort, [spec.partition], ADDRESS)
+        change = self.stage(table, rows, batch + _MERGED, ordered=True)
+        change.removed = folders
+        return change
+
     def clean(self, keep_versions: int = 1000, min_age_hours: float = 24) -> int:
         """Removes version files but the newest ``keep_versions``, and batch folders that no
         kept version lists and that are older than ``min_age_hours`` (younger ones may belong

@@ -14,6 +14,7 @@ from logledger.operators.ledger import latest_rows
 from logledger.operators.lines import parse_lines
 from logledger.plans.ingest import ingest_batch
 from logledger.plans.reports import business, health, volume
+from logledger.plans.reprocess import cluster_base
 from logledger.sources.warehouse import ADDRESS
 
 
@@ -210,3 +211,46 @@ def test_conformance_reads_the_text_once(spark, folder, monkeypatch):
     (row,) = report.collect()
     assert (row.lines, row.ok, row.errors) == (3, 2, 1)
     assert [e.line for e in row.examples] == [1, 3, 4]
+
+
+def test_a_clustered_date_skips_row_groups_by_either_column(spark, warehouse):
+    """One hot date of 40,000 rows, a third of them of one customer; some without a customer."""
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
+    try:
+        number = F.col("id") * 7919 % 40000
+        customer = F.when(number % 3 == 0, F.lit("77")).when(number % 50 == 1, F.lit("null"))
+        lines = spark.range(0, 40000, 1, 8).select(
+            F.lit("x/a.json").alias("gcs_uri"),
+            F.format_string(
+                '{"EventDt":"2026-01-28T00:00:00Z","CustId":%s,"Source":"S%d","RawData":"%s"}',
+                customer.otherwise((number % 997).cast("string")),
+                F.floor(number / 5000),
+                F.sha2(F.col("id").cast("string"), 512),
+            ).alias("data"),
+        )
+        warehouse.append("base", parse_lines(lines, NOW), "hot")
+        before = warehouse.read("base")
+        digest = before.agg(F.count("*"), F.sum(F.xxhash64(*before.columns).cast("decimal(38,0)"))).first()
+        version = warehouse.version()
+        assert cluster_base(warehouse, ["2020-01-01"]) == version
+        cluster_base(warehouse, ["2026-01-28"])
+        after = warehouse.read("base")
+        assert len(after.inputFiles()) >= 16
+        sizes = after.groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0]
+        assert sizes < 6000  # no file holds the hot customer alone
+        assert after.agg(F.count("*"), F.sum(F.xxhash64(*before.columns).cast("decimal(38,0)"))).first() == digest
+        share = {
+            "source": rows_scanned(after.filter("source = 'S3'")),
+            "customer": rows_scanned(after.filter("cust_id = 500")),
+            "both": rows_scanned(after.filter("source = 'S3' AND cust_id = 500")),
+        }
+        assert share["source"] < 20000 and share["customer"] < 20000 and share["both"] < 8000, share
+    finally:
+        for k, value in old.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)

@@ -34,6 +34,7 @@ LOADING = {
     "drop_superseded_ledger",
     "ingest_stream_trigger",
     "ingest_late_events",
+    "clustered_base",
 }
 READING = [q for q in all_queries() if q not in LOADING]
 

@@ -343,6 +343,12 @@ def all_sql() -> dict[str, str]:
               (SELECT DISTINCT gcs_uri FROM ledger WHERE status = 'PARTIAL' ORDER BY 1 LIMIT 3)
             GROUP BY gcs_uri"""
         ),
+        "clustered_base": _sql(
+            f"""SELECT {BASE_COLUMNS} FROM base JOIN
+              (SELECT source, cust_id FROM base GROUP BY ALL
+               ORDER BY count(*) DESC, source NULLS FIRST, cust_id NULLS FIRST LIMIT 1)
+              USING (source, cust_id)"""
+        ),
         "added_column": _sql(
             """SELECT gcs_uri, status, NULL::VARCHAR AS reviewed_by FROM ledger UNION ALL
             SELECT gcs_uri, 'FAILED', 'night shift' FROM waiting"""

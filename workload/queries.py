@@ -562,6 +562,19 @@ def lookup_files(spark, sf_dir):
     return lg.rows_per_file(s.warehouse.find("base", "gcs_uri", names), "base_rows")
 
 
+@query
+def clustered_base(spark, sf_dir):
+    """Base rows of the busiest source and its busiest customer, after all dates were clustered."""
+    tables = fx.build_tables(spark, sf_dir)
+    dates = tables.read("base").select(F.col("event_date").cast("string")).distinct().collect()
+    reprocess.cluster_base(tables, [r[0] for r in dates if r[0]])
+    base = tables.read("base")
+    counts = base.groupBy("source", "cust_id").agg(F.count("*").alias("n"))
+    source, customer, _ = counts.orderBy(F.desc("n"), "source", "cust_id").first()
+    found = base.filter((F.col("source") == source) & (F.col("cust_id") == customer))
+    return found.drop("event_date")
+
+
 @query
 def append_snapshots(spark, sf_dir):
     """The monitoring table after checks at two moments."""
