@@ -11,7 +11,9 @@ counted once per pair of hosts before anything is joined, each round is one join
 side and one partially aggregated sum, so a host that very many pages share or name is no hot
 key. A null url, or one without ``://``, has an empty host and path; such pages take no part in
 the graph and are allowed unless a rule says otherwise. Null html names nobody. Rows are judged
-one by one: page ids may be null or repeated.
+one by one: page ids may be null or repeated. Equal trust and distrust allow. No pages give no
+rows. The whole html is searched, however long. Columns beyond page_id, url and html are not
+looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,13 +50,13 @@ class Flow:
     """
 
     damping: float = 0.85
-    rounds: int | None = 10
+    rounds: int | None = None
     decimals: int = 10
     tolerance: float = 1e-10
 
 
 #: Scores that more rounds do not change: what a round adds shrinks by the damping each time.
-CONVERGED = Flow(rounds=None)
+CONVERGED = Flow()
 #: Rounds between tables.
 _BLOCK = 5
 
@@ -199,19 +201,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, flow: Flow = CONVERGED) -> Da
 
 
 def sql(rules=RULES, flow: Flow = Flow()) -> str:
-    """The same in SQL for a fixed number of rounds: equal verdicts where no host needs more."""
+    """The same in SQL. Scores are summed over what each round adds, so the end is the same:
+    rounds go on while the last one added more than the tolerance."""
     values = ", ".join(
         f"('{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for r, v in rules
     )
-    rounds = "".join(
-        f"""
-s{k} AS (SELECT kind, a, sum(score) AS score FROM (
-  SELECT w.kind, w.b AS a, s.score * w.share AS score FROM s{k - 1} s JOIN ways w ON s.kind = w.kind AND s.a = w.a
-  UNION ALL SELECT kind, a, score FROM s0) GROUP BY kind, a),"""
-        for k in range(1, flow.rounds + 1)
-    )
+    going = f"s.total > {flow.tolerance}" if flow.rounds is None else f"s.step < {flow.rounds}"
     return rf"""
-WITH p AS (
+WITH RECURSIVE p AS (
   SELECT page_id, coalesce(html, '') AS html,
     translate(regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)([^?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
     regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
@@ -239,11 +236,18 @@ turned AS (
 ways AS (SELECT *, {flow.damping} / count(*) OVER (PARTITION BY kind, a) AS share FROM turned),
 s0 AS (
   SELECT 'trust' AS kind, host AS a, {1 - flow.damping} * trust AS score FROM seeds WHERE trust > 0
-  UNION ALL SELECT 'distrust', host, {1 - flow.damping} * distrust FROM seeds WHERE distrust > 0),{rounds}
+  UNION ALL SELECT 'distrust', host, {1 - flow.damping} * distrust FROM seeds WHERE distrust > 0),
+flow AS (
+  SELECT kind, a, score, sum(score) OVER () AS total, 0 AS step FROM s0
+  UNION ALL
+  SELECT kind, a, score, sum(score) OVER () AS total, step FROM (
+    SELECT w.kind, w.b AS a, sum(s.score * w.share) AS score, s.step + 1 AS step
+    FROM flow s JOIN ways w ON s.kind = w.kind AND s.a = w.a WHERE {going}
+    GROUP BY w.kind, w.b, s.step)),
 scores AS (
   SELECT a AS host, round(sum(score) FILTER (kind = 'trust'), {flow.decimals}) AS trust,
     round(sum(score) FILTER (kind = 'distrust'), {flow.decimals}) AS distrust
-  FROM s{flow.rounds} GROUP BY a)
+  FROM flow GROUP BY a)
 SELECT page_id, host, path, rule, coalesce(ruled,
   CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM r LEFT JOIN scores USING (host)

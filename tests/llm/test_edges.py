@@ -267,7 +267,7 @@ def test_scores_against_a_plain_account(spark):
     distrust = flow({(b, a) for a, b in edges}, {k: v[1] for k, v in seeds.items()})
     frame = spark.createDataFrame(list(edges), "src string, dst string")
     start = spark.createDataFrame([(k, *v) for k, v in seeds.items()], "host string, trust double, distrust double")
-    for r in hosts.propagate(frame, start).collect():
+    for r in hosts.propagate(frame, start, hosts.Flow(rounds=10)).collect():
         assert r.trust == pytest.approx(trust.get(r.host, 0), abs=1e-9)
         assert r.distrust == pytest.approx(distrust.get(r.host, 0), abs=1e-9)
 
