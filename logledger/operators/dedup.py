@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A hundred bytes each in a broadcast: at most about 100 MB.
-BROADCAST_KEYS = 1_000_000
+# A hundred bytes each in a broadcast: at most about 10 MB through the driver. A backlog is
+# loaded in many waves or triggers, and the broadcasts of all of them add up to its keys.
+BROADCAST_KEYS = 100_000
 
 
 def with_event_date(rows: DataFrame) -> DataFrame:

@@ -273,7 +273,9 @@ def open_run(
             return warehouse.files.read(marker), True
         run = f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
         found = landing.new_files(warehouse.spark, warehouse.read("ledger"))
-        dedup.stored(found.select(*LISTED_COLUMNS), f"{warehouse.root}/_runs/{run}/listed")
+        # Listing tasks find few names each: REBALANCE, or the list is as many files as tasks.
+        found = found.select(*LISTED_COLUMNS).hint("rebalance")
+        dedup.stored(found, f"{warehouse.root}/_runs/{run}/listed")
         if warehouse.files.create(marker, run):
             return run, False
         _drop_scratch(warehouse, run)  # another writer was faster

@@ -13,6 +13,9 @@ from logledger.operators.dedup import stored
 from logledger.operators.ledger import not_in_ledger
 from logledger.sources.files import shared_folder
 
+# Names that one condition lists at most: a text of about a megabyte.
+NAMED = 10_000
+
 
 @dataclass(frozen=True)
 class Wave:
@@ -38,7 +41,7 @@ class Landing:
     file_glob: str = "*.json"
     path_pattern: str | None = None
     modified_after: str | None = None
-    files_per_wave: int = 10_000
+    files_per_wave: int = 100_000
     bytes_per_wave: int = 20 * 1024**4
 
     def _reader(self, reader):
@@ -90,16 +93,19 @@ class Landing:
         return not_in_ledger(self.files(spark), ledger)
 
     def waves(self, pending: DataFrame) -> Iterator[Wave]:
-        """Splits pending files (a stored table) into loads of bounded size. The names of one
-        wave, about files_per_wave of them at most, pass through the driver, because Spark
-        skips files by a condition on their path only if it knows it when planning; rows
-        never do."""
+        """Splits pending files (a stored table) into loads of bounded size. Spark skips files
+        by a condition on their path only if it knows it when planning. Where most files are
+        pending, that is the range of a wave's names, and a join drops what else lies in it: each
+        file is read once at most however many waves there are. Where few are, it is the names
+        themselves, up to NAMED of them, which pass through the driver; rows never do."""
         spark = pending.sparkSession
         files, size = pending.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
-        count = max(
-            math.ceil(files / self.files_per_wave), math.ceil(size / self.bytes_per_wave)
-        )
-        lines = self.lines(spark) if count else None
+        if not files:
+            return
+        lines = self.lines(spark)
+        by_range = files > NAMED and 2 * files >= len(lines._jdf.inputFiles())
+        most = self.files_per_wave if by_range else min(self.files_per_wave, NAMED)
+        count = max(math.ceil(files / most), math.ceil(size / self.bytes_per_wave))
         if count > 1:
             # In the order of their names, so that the copy an option keeps is the same.
             pending = pending.repartitionByRange(count, "gcs_uri").withColumn(
@@ -108,9 +114,16 @@ class Landing:
             pending = stored(pending, f"{shared_folder(spark, 'waves')}")
         for number in range(count):
             wave = pending.filter(F.col("wave") == number) if count > 1 else pending
-            names = [r[0] for r in wave.select("gcs_uri").collect()]
-            if names:
-                yield Wave(len(names), wave.select("gcs_uri"), lines.filter(_one_of(names)))
+            names = wave.select("gcs_uri")
+            if by_range:
+                held, low, high = wave.agg(F.count("*"), F.min("gcs_uri"), F.max("gcs_uri")).first()
+                near = lines.filter(F.col("gcs_uri").between(F.lit(low), F.lit(high)))
+                own = near.join(names, "gcs_uri", "left_semi")
+            else:
+                listed = [r[0] for r in names.collect()]
+                held, own = len(listed), lines.filter(_one_of(listed)) if listed else None
+            if held:
+                yield Wave(held, names, own)
 
 
 def _one_of(names: list[str]):

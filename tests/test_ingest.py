@@ -10,6 +10,8 @@ from logledger.plans import ingest
 from logledger.plans.ingest import ingest_batch, new_file_count
 from logledger.plans.monitoring import record_snapshot
 from logledger.plans.reports.health import latest_alert, row_reconciliation
+from logledger.session import configure
+from logledger.sources import landing as landing_module
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import VersionConflict, Warehouse
 
@@ -367,3 +369,51 @@ def test_a_random_mix_against_a_plain_python_account(warehouse, folder):
     assert state(warehouse) == wanted
     assert warehouse.read("base").count() == sum(w[2] for w in wanted.values())
     assert warehouse.read("base").filter(F.col("gcs_uri").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("named", [0, 100])
+def test_waves_by_range_load_what_waves_by_names_do(spark, warehouse, folder, monkeypatch, named):
+    """Most files are pending: with NAMED 0 a wave is a range of names, in which one file is
+    loaded already."""
+    monkeypatch.setattr(landing_module, "NAMED", named)
+    folder.put(name(5), [record(5), record(50)])
+    ingest_batch(warehouse, folder.landing, NOW)
+    for i in [*range(5), *range(6, 10)]:
+        folder.put(name(i), [record(i), record(i + 20)])
+    cut = Landing(folder.landing.paths, files_per_wave=4)
+    pending = cut.new_files(spark, warehouse.read("ledger"))
+    pending = dedup.stored(pending, f"{warehouse.root}/_runs/pending")
+    listed, one_of = [], landing_module._one_of
+    monkeypatch.setattr(landing_module, "_one_of", lambda names: listed.append(names) or one_of(names))
+    waves = list(cut.waves(pending))
+    assert bool(listed) == (named > 0)
+    assert sum(w.count for w in waves) == 9 and len(waves) == 3
+    found = [(r[0].rsplit("-", 1)[1], r[1]) for w in waves for r in w.lines.collect()]
+    assert len(found) == 18 and len(set(found)) == 18 and "5.json" not in {f for f, _ in found}
+    assert ingest_batch(warehouse, cut, LATER).first().files_processed == 9
+    assert sizes(warehouse)[0] == 20
+
+
+def test_a_list_of_files_is_one_file(spark, warehouse, folder):
+    """Found by many listing tasks, it was as many files as tasks."""
+    for i in range(12):
+        folder.put(name(i), [record(i)])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        run, _ = ingest.open_run(warehouse, folder.landing, "scope", NOW)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    names = warehouse.files.children(f"{warehouse.root}/_runs/{run}/listed")
+    assert len([n for n in names if n.startswith("part-")]) == 1
+
+
+def test_settings_for_small_files_yield_to_those_of_the_session(spark):
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    other = spark.newSession()
+    other.conf.unset(listing)
+    if other.conf.get(listing, None) is None:
+        configure(other)
+        assert int(other.conf.get(listing)) == 2 * spark.sparkContext.defaultParallelism
+    other.conf.set(listing, "7")
+    assert configure(other).conf.get(listing) == "7"
