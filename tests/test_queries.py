@@ -74,3 +74,32 @@ def test_query(spark, db, name):
         theirs = db.sql(all_sql()[name]).df()
         assert sorted(mine.columns) == sorted(theirs.columns)
         assert _rows(mine) == _rows(theirs)
+
+
+def test_lines_are_made_once_for_tables_and_reports(spark, monkeypatch, tmp_path):
+    """Tables, their files and what is pending come from one making of the lines."""
+    from workload import fixture
+    from workload.queries import stored
+
+    made, make = [], fixture.raw_lines
+    monkeypatch.setattr(fixture, "raw_lines", lambda *a: made.append(1) or make(*a))
+    (tmp_path / "events.parquet").write_bytes(Path(f"{SMALL}/events.parquet").read_bytes())
+    tables = stored(spark, str(tmp_path))
+    assert tables.lines.filter("file_no % 5 = 0").count() > 0
+    fixture.build_tables(spark, str(tmp_path))
+    assert len(made) == 1
+
+
+def test_files_are_written_whole_into_their_parts(spark, tmp_path):
+    from workload import fixture
+
+    rows = [(i // 3, i, f"mem://b/logs/f-{i // 3}.json", f"line {i}") for i in range(30)]
+    lines = spark.createDataFrame(rows[::-1], "file_no bigint, slot bigint, gcs_uri string, data string")
+    part = fixture.F.when(fixture.is_processed(), "history").otherwise("pending")
+    assert fixture.write_files(lines.repartition(4), str(tmp_path), part) == 10
+    found = {p.relative_to(tmp_path): p.read_text() for p in tmp_path.rglob("*.json")}
+    expected = {
+        Path("history" if f % 5 else "pending", "logs", f"f-{f}.json"):
+            "".join(f"line {i}\n" for i in range(3 * f, 3 * f + 3)) for f in range(10)
+    }
+    assert found == expected

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logledger.operators import ledger as lg
+from logledger.operators.dedup import stored
 from logledger.operators.lines import archive_lines, parse_lines
 from logledger.session import configure
 from logledger.sources.files import shared_folder
@@ -131,6 +132,18 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("file_ts", F.col("file_ts").cast("timestamp"))
 
 
+_LINES: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_lines`` from disk, made once per Spark application and data directory: making them
+    shuffles every line twice."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LINES:
+        _LINES[key] = stored(raw_lines(spark, sf_dir), shared_folder(spark, "lines"))
+    return _LINES[key]
+
+
 def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_no, file_ts, gcs_uri) of every file."""
     events(spark, sf_dir).createOrReplaceTempView("workload_events")
@@ -162,7 +175,7 @@ def _stamped(lines: DataFrame) -> DataFrame:
 def build_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Base, archive and ledger as if every processed file had had a run of its own; files
     with ``file_no % 20 = 1`` have a second, later ledger row."""
-    lines = _stamped(raw_lines(spark, sf_dir))
+    lines = _stamped(stored_lines(spark, sf_dir))
     run_ts = F.col("run_ts")
     warehouse = Warehouse(spark, shared_folder(spark, "workload")).create()
     archive = warehouse.stage("archive", archive_lines(lines, run_ts), "first")
@@ -180,24 +193,43 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
     return warehouse
 
 
-def write_files(lines: DataFrame, folder: str) -> int:
-    """Writes the lines as files named like their uri, below ``folder``/logs. Each task
-    writes the files whose lines it holds; a file has at most 50 lines."""
+def write_files(lines: DataFrame, folder: str, part: F.Column | None = None) -> int:
+    """Writes the lines as files named like their uri, below ``folder``/logs, or below
+    ``folder``/``part``/logs. Each task writes the files whose lines it holds, one after the
+    other; a file has at most 50 lines."""
 
-    def write(rows):
+    def write(batches):
+        import pyarrow as pa
         from pyarrow import fs
 
-        name = rows["gcs_uri"].iloc[0].rsplit("/", 1)[-1]
         system, path = fs.FileSystem.from_uri(uri)
-        system.create_dir(f"{path}/logs", recursive=True)
-        text = "\n".join(rows.sort_values("slot")["data"]) + "\n"
-        with system.open_output_stream(f"{path}/logs/{name}") as out:
-            out.write(text.encode())
-        return rows.iloc[:1][["file_no"]]
+        made = set()
+
+        def put(place, name, data):
+            home = "/".join(p for p in (path, place, "logs") if p)
+            if home not in made:
+                system.create_dir(home, recursive=True)
+                made.add(home)
+            with system.open_output_stream(f"{home}/{name}") as out:
+                out.write(("\n".join(data) + "\n").encode())
+
+        file, data, count = None, [], 0
+        for batch in batches:
+            for place, name, line in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if file != (place, name):
+                    if file:
+                        put(*file, data)
+                    file, data, count = (place, name), [], count + 1
+                data.append(line)
+        if file:
+            put(*file, data)
+        yield pa.RecordBatch.from_pydict({"files": pa.array([count], pa.int64())})
 
     uri = folder if "://" in folder else f"file://{folder}"
-    written = lines.select("file_no", "slot", "gcs_uri", "data").groupBy("gcs_uri")
-    return written.applyInPandas(write, "file_no bigint").count()
+    rows = lines.select((F.lit("") if part is None else part).alias("part"), "gcs_uri", "slot", "data")
+    rows = rows.repartition("gcs_uri").sortWithinPartitions("gcs_uri", "slot")
+    named = rows.select("part", F.substring_index("gcs_uri", "/", -1).alias("name"), "data")
+    return named.mapInArrow(write, "files bigint").agg(F.sum("files")).first()[0]
 
 
 def public_uri(column: str = "gcs_uri") -> F.Column:

@@ -71,7 +71,7 @@ class Stored:
 def stored(spark: SparkSession, sf_dir: str) -> Stored:
     warehouse = _once(spark, sf_dir, "tables", fx.build_tables)
     now = _once(spark, sf_dir, "now", fx.now_of)
-    lines = fx.raw_lines(spark, sf_dir)
+    lines = fx.stored_lines(spark, sf_dir)
     return Stored(warehouse, fx.raw_files(spark, sf_dir), lines, now)
 
 
@@ -173,9 +173,8 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 
     def write(spark, sf_dir):
         folder = shared_folder(spark, "landing")
-        lines = fx.raw_lines(spark, sf_dir)
-        fx.write_files(lines.filter(fx.is_processed()), f"{folder}/history")
-        fx.write_files(lines.filter(~fx.is_processed()), f"{folder}/pending")
+        part = F.when(fx.is_processed(), "history").otherwise("pending")
+        fx.write_files(fx.raw_lines(spark, sf_dir), folder, part)
         return folder
 
     return _once(spark, sf_dir, "landing", write)
