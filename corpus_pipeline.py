@@ -28,7 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near-duplicates: texts that share at least 0.8 of
-    their shingles of five words. (op2's bound of two bits binds only its query.)"""
+    their shingles of five words. SimHash with Golay keys links the nearest, MinHash what lies beyond
+    its bits. (op2's bound of two bits binds only its query.)"""
     return one_of_each(docs, similar_documents(docs))
 
 

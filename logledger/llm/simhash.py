@@ -22,7 +22,6 @@ from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from logledger.llm import golay
 from logledger.llm.components import components
-from logledger.llm.staging import free_name, if_small, stored, text_batches
+from logledger.llm.staging import discard, free_name, if_small, stored, text_batches
 
 SHINGLE = 3
 SEED = 42
@@ -50,7 +49,11 @@ def fingerprint(text: str | None) -> int:
         shingles: Iterable[bytes] = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*[words[k:] for k in range(SHINGLE)], strict=False))
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64)
+    return majority(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the 64-bit hashes have, as an unsigned number."""
     ones = np.zeros(64, np.int64)
     for start in range(0, len(hashes), _STEP):
         block = hashes[start : start + _STEP].view(np.uint8).reshape(-1, 8)
@@ -72,9 +75,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
 
 
-def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        signed = batch["fp"].to_numpy(np.int64)
+        signed = batch["fp"].to_numpy()
         fps = signed.view(np.uint64)
         mask = np.uint64((1 << 23) - 1)
         first, second, third = fps & mask, fps >> np.uint64(23) & mask, fps >> np.uint64(46)
@@ -83,14 +86,13 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ):
             rows, code = golay.keys(fuzzy)
             key = (family << 60) | (exact[rows].astype(np.int64) << 12) | code.astype(np.int64)
-            yield pd.DataFrame({"key": key, "fp": signed[rows]})
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(signed[rows])], ["key", "fp"])
 
 
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b) for distinct fingerprints ``fp``: enough links at MAX_BITS bits or fewer to
     connect all that are connected. In small buckets it is every such pair."""
-    keyed = distinct.mapInPandas(_keys, "key bigint, fp bigint")
-    keyed = stored(keyed, "keys")
+    keyed = stored(distinct.mapInArrow(_keys, "key bigint, fp bigint"), "keys")
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     both = keyed.join(shared, "key")
     bucket = both.filter(F.col("n") <= PAIRED).groupBy("key").agg(F.collect_list("fp").alias("f"))
@@ -110,7 +112,9 @@ def links(distinct: DataFrame) -> DataFrame:
         F.min("fp").alias("a"), F.collect_list("fp").alias("all"), F.count("*").alias("n")
     )
     through = first.filter("n > 1").select("a", F.explode("all").alias("b")).filter("a <> b")
-    return pairs.unionByName(through).distinct()
+    found = stored(pairs.unionByName(through).distinct(), "fingerprint-links")
+    discard(keyed)
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -1,14 +1,16 @@
 """Near-duplicates by the word shingles texts share: Jaccard similarity of a given least value.
 
-At a similarity of 0.8 SimHash fingerprints differ in about 10 of 64 bits, give or take 3, and
-unrelated ones already meet within the 17 or so that all such pairs would need. Candidates
-therefore come from MinHash: texts whose ``ROWS`` minima agree in one of ``BANDS`` bands are
-candidates, which two texts at 0.8 miss once in 9,000 times. Only distinct shingle sets are
-compared; copies join the class of their set.
-
-Candidates are judged in two steps. Signatures, 8 bits of each minimum, estimate the similarity
-of a pair to 0.03; pairs whose estimate is more than ``SLACK`` (five times that) too low are left
-out. All others are verified on the hashes of all shingles, so nothing below the bound is linked.
+Texts are linked in two steps, both verified on all shingles, so nothing below the bound is linked.
+First by SimHash: the fingerprints of the shingle sets meet by Golay keys within ``simhash.MAX_BITS``
+bits (``simhash.links``). At a similarity of 0.8 fingerprints differ in about 10 of 64 bits, give or
+take 3, and unrelated ones already meet within the 17 or so that all such pairs would need, so
+farther ones are reached by MinHash: texts whose ``ROWS`` minima agree in one of ``BANDS`` bands are
+candidates, which two texts at 0.8 miss once in 9,000 times. What SimHash has connected is not
+compared again. Only distinct shingle sets are compared; copies join the class of their set.
+
+Candidates of the bands are judged in two steps. Signatures, 8 bits of each minimum, estimate the
+similarity of a pair to 0.03; pairs whose estimate is more than ``SLACK`` (five times that) too low
+are left out. All others are verified.
 
 A bucket's members are not compared all with each other. In each of ``ROUNDS`` rounds every
 bucket that is still in several components has one pivot, another one in each bucket a set lies
@@ -39,6 +41,8 @@ from pyspark.sql import functions as F
 
 from logledger.llm.components import components
 from logledger.llm.prefixes import possible_pairs
+from logledger.llm.simhash import links as fingerprint_links
+from logledger.llm.simhash import majority
 from logledger.llm.staging import discard, if_small, stored, text_batches
 
 WORDS = 5
@@ -52,7 +56,7 @@ _STEP = 1_024
 _random = np.random.default_rng(SEED)
 _FACTORS = _random.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDED = _random.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64)
-_SETS = "doc_id bigint, own binary, n int, hashes binary, signature binary, bands array<bigint>"
+_SETS = "doc_id bigint, own binary, fp bigint, n int, hashes binary, signature binary, bands array<bigint>"
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -84,7 +88,7 @@ def band_keys(least: np.ndarray) -> list[int]:
 
 
 def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
     names = [c.split()[0] for c in _SETS.split(", ")]
     for batch in batches:
         rows = []
@@ -93,7 +97,8 @@ def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             raw = hashes.tobytes()
             least = minima(hashes)
             signature = (least >> np.uint64(23)).astype(np.uint8).tobytes()
-            rows.append((doc_id, xxhash.xxh3_128_digest(raw), len(hashes), raw, signature, band_keys(least)))
+            fp = int(np.uint64(majority(hashes)).view(np.int64))
+            rows.append((doc_id, xxhash.xxh3_128_digest(raw), fp, len(hashes), raw, signature, band_keys(least)))
         columns = zip(*rows, strict=True) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
@@ -107,8 +112,13 @@ def similar_enough(one, other, similarity: float) -> bool:
     return shared >= similarity * (len(a) + len(b) - shared) - 1e-9
 
 
+def _own(sets: DataFrame, name: str, size: str, signature: str) -> DataFrame:
+    return sets.select("own", "n", "signature").toDF(name, size, signature)
+
+
 def _estimated(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sizes and signatures allow the bound, with the estimate."""
+    """The pairs (a, b), with b's size m and signature y, whose sizes and signatures allow the
+    bound, with the estimate."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,10 +130,8 @@ def _estimated(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
             held = pa.RecordBatch.from_arrays([batch["a"], batch["b"], estimate], ["a", "b", "estimate"])
             yield held.filter(pa.array(estimate.to_numpy() >= similarity - SLACK))
 
-    own = sets.select("own", "n", "signature")
     both = (
-        pairs.join(own.toDF("b", "m", "y"), "b")
-        .join(own.toDF("a", "n", "x"), "a")
+        pairs.join(_own(sets, "a", "n", "x"), "a")
         .filter(F.least("n", "m") >= similarity * F.greatest("n", "m") - 1e-9)
         .select("a", "b", "x", "y")
     )
@@ -145,23 +153,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.mapInArrow(check, "a binary, b binary")
 
 
-def _apart(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
     """The members, with their root, of buckets that are in several components."""
-    placed = members.withColumn("root", F.col("own"))
-    if roots is not None:
-        found = members.join(roots, F.col("own") == F.col("node"), "left")
-        placed = found.select(*members.columns, F.coalesce("root", "own").alias("root"))
+    placed = members.join(roots, F.col("own") == F.col("node"), "left")
+    placed = placed.select(*members.columns, F.coalesce("root", "own").alias("root"))
     placed = stored(placed, "placed")
     ends = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     return placed.join(ends.filter("low <> high").select("key"), "key", "left_semi")
 
 
-def _with_pivot(apart: DataFrame, number: int) -> DataFrame:
-    """(a, b): each member with its bucket's pivot, if they are not connected yet."""
+def _by_fingerprint(classes: DataFrame) -> DataFrame:
+    """(a, b): sets whose SimHash fingerprints are linked, enough of them to connect all such.
+    Of sets with one fingerprint the smallest stands for all."""
+    first = stored(classes.groupBy("fp").agg(F.min("own").alias("first")), "fingerprints")
+    same = classes.join(first, "fp").select(F.col("own").alias("a"), F.col("first").alias("b"))
+    near = (
+        fingerprint_links(first.select("fp"))
+        .join(first.toDF("a", "x"), "a")
+        .join(first.toDF("b", "y"), "b")
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    )
+    return same.filter("a <> b").union(near)
+
+
+def _with_pivot(apart: DataFrame, sets: DataFrame, number: int) -> DataFrame:
+    """(a, b, m, y): each member with its buckets' pivots, if they are not connected yet. A
+    pivot's signature is fetched once for its bucket, not for each of the members."""
     order = F.struct(F.xxhash64("own", "key", F.lit(number)), "own")
     pivots = apart.groupBy("key").agg(F.min_by(F.struct("own", "root"), order).alias("pivot"))
-    pairs = apart.join(pivots, "key").filter(F.col("root") != F.col("pivot.root"))
-    return pairs.select(F.col("own").alias("a"), F.col("pivot.own").alias("b")).distinct()
+    pivots = pivots.select("key", F.col("pivot.own").alias("b"), F.col("pivot.root").alias("r"))
+    pivots = pivots.join(_own(sets, "b", "m", "y"), "b")
+    pairs = apart.join(pivots, "key").filter(F.col("root") != F.col("r"))
+    return pairs.select(F.col("own").alias("a"), "b", "m", "y").distinct()
 
 
 def _outsiders(apart: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -199,28 +222,32 @@ def similar_documents(
         docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(partial(_sets, words), _SETS),
         "shingle-sets",
     )
-    classes = stored(
-        rows.groupBy("own").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "set-classes"
-    )
+    classes = rows.groupBy("own", "fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    classes = stored(classes, "set-classes")
+    near = stored(_by_fingerprint(classes), "near")
     keyed = rows.select("own", "n", F.explode("bands").alias("key")).distinct()
     keyed = stored(keyed, "bands")
     shared = keyed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low <> high")
     members = stored(keyed.join(shared.select("key"), "key", "left_semi"), "buckets")
-    wanted = stored(members.select("own").distinct(), "wanted")
+    wanted = members.select("own").union(near.select("a")).union(near.select("b"))
+    wanted = stored(wanted.distinct(), "wanted")
     sets = rows.select("own", "n", "hashes", "signature").join(if_small(wanted), "own", "left_semi")
     sets = stored(sets.dropDuplicates(["own"]), "sets")
     named = stored(rows.select("doc_id", "own"), "named")
     discard(rows, keyed)
-    links, roots = None, None
+    links = stored(_verified(near, sets, similarity), "verified")
+    roots = components(links)
+    discard(near)
     for number in range(ROUNDS + 1):
         apart = _apart(members, roots)
-        pairs = _with_pivot(apart, number) if number < ROUNDS else _outsiders(apart, sets, similarity)
-        near = _estimated(pairs, sets, similarity)
         if number < ROUNDS:
+            near = _estimated(_with_pivot(apart, sets, number), sets, similarity)
             near = near.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
+        else:
+            pairs = _outsiders(apart, sets, similarity).join(_own(sets, "b", "m", "y"), "b")
+            near = _estimated(pairs, sets, similarity)
         near = stored(near.select("a", "b"), "near")
-        found = stored(_verified(near, sets, similarity), "verified")
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(stored(_verified(near, sets, similarity), "verified"))
         roots = components(links)
         discard(near)
     joined = classes.join(roots, F.col("own") == F.col("node"), "left").select(

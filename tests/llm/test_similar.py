@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from logledger.llm import prefixes, similar
+from logledger.llm import prefixes, simhash, similar
 from llm.test_simhash import brute_fingerprint, roots
 
 
@@ -69,6 +69,21 @@ def test_size_and_bound_are_parameters(spark, words, similarity):
     assert len(ids) == (1 if similarity == 0.5 else 2)
 
 
+def test_simhash_links_come_first_and_are_verified(spark, monkeypatch):
+    """Without a round of MinHash, what SimHash finds by itself: sets whose fingerprints are at most
+    two bits apart, if they are similar enough."""
+    monkeypatch.setattr(similar, "ROUNDS", -1)
+    texts = corpus()[:60] + [None]
+    hashes = [similar.shingle_set(t) for t in texts]
+    prints = [simhash.majority(h) for h in hashes]
+    within = [(i, j) for i in range(61) for j in range(i + 1, 61) if bin(prints[i] ^ prints[j]).count("1") <= 2]
+    near = [(i, j) for i, j in within if similar.similar_enough(hashes[i], hashes[j], 0.8)]
+    assert near
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in similar.similar_documents(docs).collect()}
+    assert got == roots(range(61), near)
+
+
 @pytest.mark.parametrize("rounds", [0, 1])
 def test_rounds_change_no_component(spark, monkeypatch, rounds):
     """All that pivots leave open is found by comparing those outside the largest component."""
