@@ -44,11 +44,14 @@ _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int
 def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of an array of numbers below 2^32."""
     values = ranks.astype("<u4")
-    size = 1 + (values > 0xFF) + (values > 0xFFFF).astype(np.int64) + (values > 0xFFFFFF)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[: len(values)] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    used = np.arange(4) < size[:, None]
+    more = codes[: len(values)]
+    more += values > 0xFF
+    more += values > 0xFFFF
+    more += values > 0xFFFFFF
+    of_four = codes.reshape(-1, 4)
+    control = of_four[:, 0] | of_four[:, 1] << 2 | of_four[:, 2] << 4 | of_four[:, 3] << 6
+    used = np.arange(4, dtype=np.uint8) <= more[:, None]
     return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[used].tobytes()
 
 
@@ -155,13 +158,13 @@ def _encode_task(path: str | None, batches: Iterator[pa.RecordBatch]) -> Iterato
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch["ids"]:
-            own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-            if len(own) > len(total):
-                own[: len(total)] += total
-                total = own
-            else:
-                total[: len(own)] += own
+        # The ids of all documents of a batch lie one after the other.
+        own = np.bincount(np.frombuffer(b"".join(batch["ids"].to_pylist()), "<u4"))
+        if len(own) > len(total):
+            own[: len(total)] += total
+            total = own
+        else:
+            total[: len(own)] += own
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 

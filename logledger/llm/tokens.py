@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ END = 0
 #: Pieces a worker remembers; beyond, it starts anew. Bounds memory, changes no result.
 REMEMBERED = 800_000
 _ID = np.dtype("<u4")
+_COUNTED = "<%dI"
 #: Fixed value: white space other than space and line break.
 _OTHER_SPACE = (
     "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -57,18 +59,26 @@ class Pieces(dict):
         return np.array(found[0].ids, _ID).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        word = _WORD.fullmatch(piece)
-        if not word:
+        if piece.isascii() and (piece[1:] if piece[:1] == " " else piece).isalpha():
+            found = self._word(piece)
+        elif not (word := _WORD.fullmatch(piece)):
             found = self.whole(piece)
         elif word[2]:
             found = self[word[1]] + self[word[2]]
         else:
-            # One word is one unit of the tokenizer's rule: its BPE model takes it directly.
-            shown = piece.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(shown)], _ID).tobytes()
+            found = self._word(piece)
         self[piece] = found
         return found
 
+    def _word(self, piece: str) -> bytes:
+        """One word is one unit of the tokenizer's rule: its BPE model takes it directly."""
+        if piece.isascii():
+            # Of a word's ASCII characters only the space has another letter.
+            shown = piece.replace(" ", self.letters[32])
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.letters)
+        return pack(_COUNTED % len(found := self.model.tokenize(shown)), *[t.id for t in found])
+
     def ids(self, text: str) -> bytes:
         if any(x in text for x in (_ODD_ASCII if text.isascii() else _ODD)) or any(
             x in text for x in self.added

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logledger.llm import packing, token_files, tokens
@@ -147,3 +148,15 @@ def test_token_files(spark):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     assert token_files.token_file_digest(docs.limit(0)).count() == 0
+
+
+def test_ids_are_counted_once_a_batch(monkeypatch):
+    """Not once a document: each count is as long as the vocabulary."""
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(token_files.np, "bincount", lambda ids: calls.append(len(ids)) or bincount(ids))
+    docs = [[7, 7, 0], [0], [50_000, 7, 0]]
+    column = pa.array([np.array(d, "<u4").tobytes() for d in docs], pa.binary())
+    batches = iter([pa.RecordBatch.from_arrays([column], ["ids"])] * 2)
+    (found,) = token_files._count_task(batches)
+    assert found.to_pydict() == {"id": [0, 7, 50_000], "n": [6, 6, 2]}
+    assert calls == [7, 7]
