@@ -247,7 +247,11 @@ def load_rest(
         if broken:
             rest = lg.not_in_ledger(pending, warehouse.read("ledger"))
             pending = dedup.stored(rest, f"{warehouse.root}/_runs/{own}/pending")
-        for number, wave in enumerate(landing.waves(pending)):
+        # A run that an earlier release opened has no list of all files.
+        every = f"{warehouse.root}/_runs/{run}/found"
+        known = warehouse.files.exists(every)
+        found = warehouse.spark.read.schema(LISTED).parquet(every) if known else None
+        for number, wave in enumerate(landing.waves(pending, found)):
             if log:
                 log(f"loading {wave.count} files at {now}")
             loaded.duplicates += load_files(
@@ -272,10 +276,11 @@ def open_run(
         if warehouse.files.exists(marker):
             return warehouse.files.read(marker), True
         run = f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
-        found = landing.new_files(warehouse.spark, warehouse.read("ledger"))
         # Listing tasks find few names each: REBALANCE, or the list is as many files as tasks.
-        found = found.select(*LISTED_COLUMNS).hint("rebalance")
-        dedup.stored(found, f"{warehouse.root}/_runs/{run}/listed")
+        found = landing.files(warehouse.spark).select(*LISTED_COLUMNS).hint("rebalance")
+        found = dedup.stored(found, f"{warehouse.root}/_runs/{run}/found")
+        fresh = lg.not_in_ledger(found, warehouse.read("ledger")).hint("rebalance")
+        dedup.stored(fresh, f"{warehouse.root}/_runs/{run}/listed")
         if warehouse.files.create(marker, run):
             return run, False
         _drop_scratch(warehouse, run)  # another writer was faster

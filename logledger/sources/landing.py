@@ -15,6 +15,9 @@ from logledger.sources.files import shared_folder
 
 # Names that one condition lists at most: a text of about a megabyte.
 NAMED = 10_000
+# Files that a range of names may hold for each one that is pending. Reading a file too many takes
+# some milliseconds of a core; a load more compares its rows with the whole history again.
+SPARSE = 4
 
 
 @dataclass(frozen=True)
@@ -92,18 +95,27 @@ class Landing:
         """Raw files without a ledger row."""
         return not_in_ledger(self.files(spark), ledger)
 
-    def waves(self, pending: DataFrame) -> Iterator[Wave]:
+    def waves(self, pending: DataFrame, found: DataFrame | None = None) -> Iterator[Wave]:
         """Splits pending files (a stored table) into loads of bounded size. Spark skips files
-        by a condition on their path only if it knows it when planning. Where most files are
-        pending, that is the range of a wave's names, and a join drops what else lies in it: each
-        file is read once at most however many waves there are. Where few are, it is the names
-        themselves, up to NAMED of them, which pass through the driver; rows never do."""
+        by a condition on their path only if it knows it when planning. Where pending files lie
+        close together among all files by name, that is the range of a wave's names, and a join
+        drops what else lies in it: each file is read once at most however many waves there are.
+        Where they are few or far between, it is the names themselves, up to NAMED of them, which
+        pass through the driver; rows never do. ``found``: the stored list of all files, pending
+        or not, by which that is told; it may be older than the files."""
         spark = pending.sparkSession
-        files, size = pending.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        files, size, low, high = pending.agg(
+            F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.min("gcs_uri"), F.max("gcs_uri")
+        ).first()
         if not files:
             return
         lines = self.lines(spark)
-        by_range = files > NAMED and 2 * files >= len(lines._jdf.inputFiles())
+        by_range = files > NAMED
+        if by_range and found is None:
+            by_range = SPARSE * files >= len(lines._jdf.inputFiles())
+        elif by_range:
+            near = found.filter(F.col("gcs_uri").between(F.lit(low), F.lit(high)))
+            by_range = SPARSE * files >= near.count()
         most = self.files_per_wave if by_range else min(self.files_per_wave, NAMED)
         count = max(math.ceil(files / most), math.ceil(size / self.bytes_per_wave))
         if count > 1:

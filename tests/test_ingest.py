@@ -394,6 +394,24 @@ def test_waves_by_range_load_what_waves_by_names_do(spark, warehouse, folder, mo
     assert sizes(warehouse)[0] == 20
 
 
+@pytest.mark.parametrize("close, waves", [(True, 1), (False, 2)])
+def test_few_pending_files_close_together_are_one_load(warehouse, folder, monkeypatch, close, waves):
+    """Six files of thirty-six are pending. If their names are close together, a range of names
+    serves; if not, it would hold all thirty-six, and the names are listed NAMED at a time."""
+    monkeypatch.setattr(landing_module, "NAMED", 5)
+    late = range(30, 36) if close else range(0, 36, 7)
+    for i in set(range(36)) - set(late):
+        folder.put(name(f"{i:02d}"), [record(i)])
+    ingest_batch(warehouse, folder.landing, NOW)
+    for i in late:
+        folder.put(name(f"{i:02d}"), [record(i), record(i), record(min(set(range(36)) - set(late)))])
+    said = []
+    summary = ingest_batch(warehouse, folder.landing, LATER, log=said.append).first()
+    assert len(said) == waves
+    assert (summary.files_processed, summary.rows_already_loaded) == (6, 6)
+    assert sizes(warehouse) == (42, 48, 36)
+
+
 def test_a_list_of_files_is_one_file(spark, warehouse, folder):
     """Found by many listing tasks, it was as many files as tasks."""
     for i in range(12):
