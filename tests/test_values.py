@@ -149,3 +149,32 @@ def test_fields_keep_their_json_type(spark, line, fields):
 
     found = spark.createDataFrame([(line,)], "data string").select(record_or_null()).first()[0]
     assert {k: found[k] for k in fields} == fields
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        '{"Bytes":%s}',
+        '{"Bytes" :\t%s , "CustId":2}',
+        '{"Bytes":3,"Bytes":%s}',
+        '{"Bytes":%s,"x":"a \\":1.5 b"}',
+        '{"x":%s,"Bytes":"[3.50"}',
+        '{"Bytes":%s}]',
+        '{"Bytes":%s',
+    ],
+)
+def test_plain_lines_read_as_texts_give_what_variants_give(spark, line):
+    from logledger.functions import json_lines as jl
+
+    values = ["0", "-0", "7", "-12", "007", "1.50", "1e3", "9" * 17, "9" * 18, "9" * 30, "true", "null", "tru"]
+    values += ["NaN", "-Infinity", '""', '"1.50"', '"\\u00e9"', '"x" 1', '{"a":1}', "[1]", "1 2", "/**/1", ""]
+    frame = spark.createDataFrame([(line % v,) for v in values], "data string")
+    fields = "transform(array(%s), r -> struct(r.Bytes, r.CustId))[0]"
+    both = frame.selectExpr(
+        fields % f"({jl._RECORD})[0]", fields % f"({jl._VARIANTS})[0]", jl._NOT_PLAIN
+    )
+    found = [tuple(r) for r in both.collect()]
+    assert [r[0] for r in found] == [r[1] for r in found]
+    # Lines that are read as texts: without them this would compare variants with themselves.
+    plain = sum(not r[2] for r in found)
+    assert plain >= 5 or "[" in line or "]" in line or "1.5" in line or line.endswith("%s")
