@@ -29,6 +29,8 @@ from logledger.sources.warehouse import Change, VersionConflict, Warehouse, part
 
 COMPACT_ABOVE = 64
 LISTED = "gcs_uri string, length bigint, modified timestamp"
+# Folder of a run with the files its micro-batches noted.
+ARRIVED = "arrived"
 LISTED_COLUMNS = [c.split()[0] for c in LISTED.split(", ")]
 
 
@@ -245,6 +247,14 @@ def load_rest(
         listed = f"{warehouse.root}/_runs/{run}/listed"
         pending = warehouse.spark.read.schema(LISTED).parquet(listed)
         if broken:
+            arrived = f"{warehouse.root}/_runs/{run}/{ARRIVED}"
+            noted = [f"{arrived}/{n}" for n in warehouse.files.children(arrived)]
+            # A folder whose writing broke off has no files to read: its trigger comes again.
+            noted = [f for f in noted if warehouse.files.exists(f"{f}/_SUCCESS")]
+            if noted:
+                later = warehouse.spark.read.schema(LISTED).parquet(*noted).filter("length > 0")
+                # A file that was listed and noted is one file, whatever its size was by then.
+                pending = pending.unionByName(later).dropDuplicates(["gcs_uri"])
             rest = lg.not_in_ledger(pending, warehouse.read("ledger"))
             pending = dedup.stored(rest, f"{warehouse.root}/_runs/{own}/pending")
         # A run that an earlier release opened has no list of all files.
@@ -259,7 +269,7 @@ def load_rest(
             )
             loaded.files += wave.count
     finally:
-        _drop_scratch(warehouse, own)
+        drop_scratch(warehouse, own)
 
 
 def _marker(warehouse: Warehouse, scope: str) -> str:
@@ -283,7 +293,7 @@ def open_run(
         dedup.stored(fresh, f"{warehouse.root}/_runs/{run}/listed")
         if warehouse.files.create(marker, run):
             return run, False
-        _drop_scratch(warehouse, run)  # another writer was faster
+        drop_scratch(warehouse, run)  # another writer was faster
 
 
 def close_run(warehouse: Warehouse, scope: str, run: str) -> None:
@@ -292,10 +302,10 @@ def close_run(warehouse: Warehouse, scope: str, run: str) -> None:
     marker = _marker(warehouse, scope)
     if warehouse.files.exists(marker) and warehouse.files.read(marker) == run:
         warehouse.files.delete(marker)
-    _drop_scratch(warehouse, run, exact=True)
+    drop_scratch(warehouse, run, exact=True)
 
 
-def _drop_scratch(warehouse: Warehouse, own: str, exact: bool = False) -> None:
+def drop_scratch(warehouse: Warehouse, own: str, exact: bool = False) -> None:
     """Removes run-scoped tables: that of this name, or of all names that begin so."""
     for name in warehouse.files.children(f"{warehouse.root}/_runs"):
         if name == own or not exact and name.startswith(own):

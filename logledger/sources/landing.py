@@ -88,6 +88,21 @@ class Landing:
         rows = reader.option("maxFilesPerTrigger", files_per_trigger).load(self.paths[0])
         return self._matching(_with_uri(rows))
 
+    def stream_files(self, spark: SparkSession, files_per_trigger: int = 1000) -> DataFrame:
+        """Files as they arrive, as ``files`` lists them. None is opened."""
+        if len(self.paths) != 1:
+            raise ValueError("a stream reads one path or glob")
+        reader = self._reader(spark.readStream.format("binaryFile")).schema(
+            "path string, modificationTime timestamp, length bigint, content binary"
+        )
+        rows = reader.option("maxFilesPerTrigger", files_per_trigger).load(self.paths[0])
+        found = rows.select(
+            F.col("_metadata.file_path").alias("gcs_uri"),
+            "length",
+            F.col("modificationTime").alias("modified"),
+        )
+        return self._matching(found)
+
     def _matching(self, rows: DataFrame) -> DataFrame:
         return rows.filter(F.col("gcs_uri").rlike(self.path_pattern)) if self.path_pattern else rows
 

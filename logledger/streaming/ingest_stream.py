@@ -1,8 +1,9 @@
 """Loading files as they arrive, with Structured Streaming.
 
-Every micro-batch is one load of ``plans.ingest``: the ledger is checked first, and one
-commit makes the batch visible. The ledger makes a repeated micro-batch harmless, also when
-batch runs share the tables. Late events are accepted without limit: each lands in the
+Every micro-batch of a continuous stream is one load of ``plans.ingest``: the ledger is checked
+first, and one commit makes the batch visible. The ledger makes a repeated micro-batch harmless,
+also when batch runs share the tables. A scheduled run notes the files of its micro-batches and
+loads those of several together, since each load is compared with history. Late events are accepted without limit: each lands in the
 folder of its own date, so there is no watermark.
 """
 
@@ -19,10 +20,24 @@ from pyspark.sql.streaming import StreamingQuery
 from logledger.operators.dedup import stored
 from logledger.operators.ledger import not_in_ledger
 from logledger.options import VARIANTS, IngestOptions
-from logledger.plans.ingest import Loaded, close_run, load_files, load_rest, open_run, tidy
+from logledger.plans.ingest import (
+    ARRIVED,
+    LISTED,
+    LISTED_COLUMNS,
+    Loaded,
+    close_run,
+    drop_scratch,
+    load_files,
+    load_rest,
+    open_run,
+    tidy,
+)
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import VersionConflict, Warehouse
 
+# Loads that the micro-batches of a scheduled run are put together to, unless they are larger.
+LOADS = 8
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -88,6 +103,76 @@ def start_stream(
     )
 
 
+def note_micro_batch(
+    warehouse: Warehouse,
+    landing: Landing,
+    options: IngestOptions,
+    clock: Callable[[], datetime],
+    run: str,
+) -> tuple[Callable[[DataFrame, int], None], Callable[[], None]]:
+    """For a run whose list of files is stored (``open_run``): the foreachBatch function, which
+    stores the names that arrived, and a function that loads what was noted and not loaded. Names are
+    stored below the run before a micro-batch counts as done, so what a run that breaks off has not
+    loaded is in its lists. The first function loads them too once they make up one of LOADS equal
+    parts of what was listed, or a wave: a backlog of many micro-batches takes a few loads, while one
+    of a few micro-batches has one load for each."""
+    known = f"{warehouse.root}/_runs/{run}"
+    listed = warehouse.spark.read.schema(LISTED).parquet(f"{known}/listed").count()
+    enough = min(landing.files_per_wave, max(1, listed // LOADS))
+    noted: list[str] = []
+    held = 0
+
+    def note(files: DataFrame, epoch: int) -> None:
+        nonlocal held
+        # A micro-batch that is repeated replaces what it noted before.
+        folder = f"{known}/{ARRIVED}/{epoch}"
+        fresh = stored(files.select(*LISTED_COLUMNS), folder)
+        if folder not in noted:
+            noted.append(folder)
+        held += fresh.count()
+        if held >= enough:
+            load()
+
+    def load() -> None:
+        nonlocal held
+        if noted:
+            files = warehouse.spark.read.schema(LISTED).parquet(*noted)
+            load_noted(warehouse, landing, files, clock, options, run)
+            noted.clear()
+            held = 0
+
+    return note, load
+
+
+def load_noted(
+    warehouse: Warehouse,
+    landing: Landing,
+    files: DataFrame,
+    clock: Callable[[], datetime],
+    options: IngestOptions,
+    run: str,
+    attempts: int = 3,
+) -> None:
+    """Loads those of the files that have no ledger row, as part of a run."""
+    found = warehouse.spark.read.schema(LISTED).parquet(f"{warehouse.root}/_runs/{run}/found")
+    for attempt in range(attempts):
+        batch = f"{run}-{uuid4().hex[:8]}"
+        try:
+            # Empty files are neither pending nor processed.
+            fresh = not_in_ledger(files.filter("length > 0"), warehouse.read("ledger"))
+            # Which files are new must not change while their load writes ledger rows.
+            fresh = stored(fresh.hint("rebalance"), f"{warehouse.root}/_runs/{batch}/files")
+            for number, wave in enumerate(landing.waves(fresh, found)):
+                name = f"{batch}-{number}"
+                load_files(warehouse, wave.files, wave.lines, clock(), name, options, run)
+            return
+        except VersionConflict:
+            if attempt == attempts - 1:
+                raise
+        finally:
+            drop_scratch(warehouse, batch)
+
+
 def run_scheduled(
     warehouse: Warehouse,
     landing: Landing,
@@ -98,18 +183,25 @@ def run_scheduled(
 ) -> DataFrame:
     """One scheduled run: loads all arrived files, returns the ledger. It is one run however
     many triggers it takes. If it breaks off, the next call first loads the rest of the files
-    that were there when it began, as part of that run; the stream then goes on with those that
-    came later as a new run, and finds the others in the ledger."""
+    that were there when it began or that its triggers noted, as part of that run; the stream then
+    goes on with those that came later as a new run, and finds the others in the ledger.
+    ``files_per_trigger`` bounds what a trigger notes, ``landing.files_per_wave`` a load."""
     scope = "stream-" + sha256(checkpoint.encode()).hexdigest()[:16]
     run, broken = open_run(warehouse, landing, scope, clock())
     while broken:
         load_rest(warehouse, landing, run, broken, clock(), options, Loaded())
         close_run(warehouse, scope, run)
         run, broken = open_run(warehouse, landing, scope, clock())
-    query = start_stream(
-        warehouse, landing, checkpoint, options, clock, None, files_per_trigger, run
+    note, load = note_micro_batch(warehouse, landing, options, clock, run)
+    query = (
+        landing.stream_files(warehouse.spark, files_per_trigger)
+        .writeStream.foreachBatch(note)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
     query.awaitTermination()
+    load()
     close_run(warehouse, scope, run)
     tidy(warehouse, clock())
     return warehouse.read("ledger")

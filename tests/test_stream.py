@@ -128,3 +128,33 @@ def test_late_events_land_in_their_own_date(spark, warehouse, folder, tmp_path):
 def test_a_stream_reads_one_path(spark):
     with pytest.raises(ValueError):
         Landing(("a", "b")).stream(spark)
+
+
+def test_many_triggers_of_a_scheduled_run_take_few_loads(
+    spark, warehouse, folder, tmp_path, monkeypatch
+):
+    for i in range(16):
+        folder.put(name(f"{i:02}"), [record(i), record(i + 100)])
+    folder.put(name("blank"), [" "])
+    load, calls, check = ingest.load_files, [], f"file:{tmp_path}/check"
+
+    def failing(*args, **more):
+        calls.append(args[1].count())
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return load(*args, **more)
+
+    monkeypatch.setattr(ingest_stream, "load_files", failing)
+    with pytest.raises(Exception, match="lost"):
+        run_scheduled(warehouse, folder.landing, check, clock=clock, files_per_trigger=1)
+    assert calls == [2, 2, 2] and warehouse.read("ledger").count() == 4
+    # Noted by a trigger that is done, but neither listed when the run began nor loaded.
+    run = warehouse.files.children(f"{warehouse.root}/_runs")[0]
+    folder.put(name("late"), [record(500)])
+    listed = folder.landing.files(spark).filter("gcs_uri LIKE '%late%'")
+    ingest.dedup.stored(listed, f"{warehouse.root}/_runs/{run}/{ingest.ARRIVED}/99")
+    found = run_scheduled(warehouse, folder.landing, check, clock=clock, files_per_trigger=1)
+    assert sorted(r.rows_loaded for r in found.collect()) == [0, 1] + [2] * 16
+    assert [warehouse.read(t).count() for t in ("base", "archive")] == [33, 33]
+    assert len(warehouse.folders("ledger")) == 3
+    assert not warehouse.files.children(f"{warehouse.root}/_runs")
