@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from hashlib import sha256
@@ -37,7 +37,7 @@ LISTED_COLUMNS = [c.split()[0] for c in LISTED.split(", ")]
 def load_files(
     warehouse: Warehouse,
     files: DataFrame,
-    lines: DataFrame,
+    lines: DataFrame | Iterable[DataFrame],
     now: datetime,
     batch: str,
     options: IngestOptions = IngestOptions(),
@@ -46,13 +46,17 @@ def load_files(
 ) -> int:
     """Loads the lines of the given files (gcs_uri) as one batch and commits it. Returns the
     number of rows dropped as duplicates. Batches whose names start with ``run`` belong to
-    the same run and are not its history."""
+    the same run and are not its history. Lines that come in several parts are archived one
+    part after the other, and go on from there together."""
     started = time.monotonic() if started is None else started
     run_ts = v.instant(now)
     based_on = warehouse.version()
     expected = None
     try:
-        archive = warehouse.stage("archive", archive_lines(lines, run_ts), batch)
+        archive = Change("archive")
+        for part in [lines] if isinstance(lines, DataFrame) else lines:
+            more = {"more": True} if archive.added else {}
+            archive = warehouse.stage("archive", archive_lines(part, run_ts), batch, **more)
         archived = warehouse.read_folders("archive", archive.added)
         expected = lg.rows_per_file(archived, "rows_expected")
         base = warehouse.stage(
@@ -265,7 +269,7 @@ def load_rest(
             if log:
                 log(f"loading {wave.count} files at {now}")
             loaded.duplicates += load_files(
-                warehouse, wave.files, wave.lines, now, f"{own}-{number}", options, run, started
+                warehouse, wave.files, wave.parts(), now, f"{own}-{number}", options, run, started
             )
             loaded.files += wave.count
     finally:

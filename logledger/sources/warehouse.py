@@ -267,10 +267,13 @@ class Warehouse:
 
     # -- writing ----------------------------------------------------------------------
 
-    def stage(self, table: str, rows: DataFrame, batch: str, ordered: bool = False) -> Change:
+    def stage(
+        self, table: str, rows: DataFrame, batch: str, ordered: bool = False, more: bool = False
+    ) -> Change:
         """Writes rows to a new batch without making them visible. Repeating it with the
         same batch name overwrites, so a retry leaves one copy. ``ordered``: the rows come
-        distributed and sorted, by partition date first, and stay as they are."""
+        distributed and sorted, by partition date first, and stay as they are. ``more``: the rows
+        join those that the batch has; the change is all of them."""
         spec = TABLES[table]
         schema = self.schema(table)
         out = rows.select(*[_not_null(f, table) for f in schema])
@@ -286,7 +289,7 @@ class Warehouse:
         elif spec.sort:
             out = out.hint("rebalance").sortWithinPartitions(*spec.sort)
         folder = f"{table}/{_BATCH}={batch}"
-        writer = out.write.mode("overwrite").options(**_bloom_filters(spec))
+        writer = out.write.mode("append" if more else "overwrite").options(**_bloom_filters(spec))
         if not spec.partition:
             writer.parquet(f"{self.root}/{folder}")
             return Change(table, [folder])
