@@ -3,12 +3,16 @@
 Every micro-batch of a continuous stream is one load of ``plans.ingest``: the ledger is checked
 first, and one commit makes the batch visible. The ledger makes a repeated micro-batch harmless,
 also when batch runs share the tables. A scheduled run notes the files of its micro-batches and
-loads those of several together, since each load is compared with history. Late events are accepted without limit: each lands in the
-folder of its own date, so there is no watermark.
+loads those of several together, since each load is compared with history. Late events are accepted
+without limit: each lands in the folder of its own date, so there is no watermark.
+
+Spark's file source keeps every file it has seen in the driver. The source of these streams is
+therefore the lists of files that arrived (``streaming.arrivals``): one list is a micro-batch.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from datetime import datetime, timezone
 from hashlib import sha256
@@ -34,6 +38,7 @@ from logledger.plans.ingest import (
 )
 from logledger.sources.landing import Landing
 from logledger.sources.warehouse import VersionConflict, Warehouse
+from logledger.streaming.arrivals import arrivals, list_arrivals
 
 # Loads that the micro-batches of a scheduled run are put together to, unless they are larger.
 LOADS = 8
@@ -49,23 +54,30 @@ def load_micro_batch(
     clock: Callable[[], datetime],
     attempts: int = 3,
     run: str | None = None,
+    landing: Landing | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function. Micro-batches with a common ``run`` are no history to each
-    other; without one, each trigger is a run of its own."""
+    other; without one, each trigger is a run of its own. A micro-batch is lines, or, of a
+    ``landing``, files."""
 
-    def load(lines: DataFrame, epoch: int) -> None:
+    def load(arrived: DataFrame, epoch: int) -> None:
         for attempt in range(attempts):
             now = clock()
             own = run or f"{now:%Y%m%dT%H%M%S}-{uuid4().hex[:8]}"
             # Streams count their epochs alike: no two loads may share a name.
             batch = f"{own}-{uuid4().hex[:8]}-{epoch}"
-            files = not_in_ledger(lines.select("gcs_uri").distinct(), warehouse.read("ledger"))
+            columns = LISTED_COLUMNS if landing else ["gcs_uri"]
+            files = arrived.select(*columns).dropDuplicates(["gcs_uri"])
+            files = not_in_ledger(files, warehouse.read("ledger"))
             # Which files are new must not change while their load writes ledger rows.
             files = stored(files, f"{warehouse.root}/_runs/{batch}/files")
             try:
                 if files.isEmpty():
                     return
-                fresh = lines.join(files, "gcs_uri", "left_semi")
+                if landing:
+                    fresh = landing.parts(files)
+                else:
+                    fresh = arrived.join(files, "gcs_uri", "left_semi")
                 load_files(warehouse, files, fresh, now, batch, options, own)
                 if not run:
                     tidy(warehouse, now)
@@ -93,14 +105,70 @@ def start_stream(
     scheduler for micro-batches every few minutes. In a continuous stream each trigger is a
     run: copies that arrive with different triggers are history to each other, as they are
     when scheduled runs see them one after the other."""
-    lines = landing.stream(warehouse.spark, files_per_trigger)
+    spark = warehouse.spark
+
+    def look() -> None:
+        list_arrivals(spark, checkpoint, landing.one_path().files(spark), files_per_trigger)
+
+    look()
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return (
-        lines.writeStream.foreachBatch(load_micro_batch(warehouse, options, clock, run=run))
+    load = load_micro_batch(warehouse, options, clock, run=run, landing=landing)
+    query = (
+        arrivals(spark, checkpoint)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
+    if every is None:
+        return query
+    seconds = spark.sql(f"SELECT unix_millis(timestamp_seconds(0) + INTERVAL {every}) / 1000.0")
+    return WatchedStream(query, look, float(seconds.first()[0]))
+
+
+class WatchedStream(StreamingQuery):
+    """A running stream, and a thread that looks for files at its interval. If it cannot look any
+    more, the stream ends with that error."""
+
+    def __init__(self, query: StreamingQuery, look: Callable[[], None], seconds: float):
+        super().__init__(query._jsq)
+        self._look, self._seconds = look, max(seconds, 0.1)
+        self._looking, self._ended = threading.Lock(), threading.Event()
+        self._error: Exception | None = None
+        self._watch = threading.Thread(target=self._watching, daemon=True)
+        self._watch.start()
+
+    def _watching(self) -> None:
+        while not self._ended.wait(self._seconds) and self.isActive:
+            try:
+                with self._looking:
+                    self._look()
+            except Exception as error:
+                if not self._ended.is_set():
+                    self._error = error
+                    super().stop()
+                return
+
+    def processAllAvailable(self) -> None:
+        """Loads all files that are there at this moment."""
+        with self._looking:
+            self._look()
+        super().processAllAvailable()
+
+    def awaitTermination(self, timeout: int | None = None) -> bool | None:
+        ended = super().awaitTermination(timeout)
+        if self._error:
+            raise self._error
+        return ended
+
+    def exception(self):
+        return super().exception() or self._error
+
+    def stop(self) -> None:
+        self._ended.set()
+        if threading.current_thread() is not self._watch:
+            self._watch.join()
+        super().stop()
 
 
 def note_micro_batch(
@@ -164,7 +232,7 @@ def load_noted(
             fresh = stored(fresh.hint("rebalance"), f"{warehouse.root}/_runs/{batch}/files")
             for number, wave in enumerate(landing.waves(fresh, found)):
                 name = f"{batch}-{number}"
-                load_files(warehouse, wave.files, wave.lines, clock(), name, options, run)
+                load_files(warehouse, wave.files, wave.parts(), clock(), name, options, run)
             return
         except VersionConflict:
             if attempt == attempts - 1:
@@ -187,14 +255,17 @@ def run_scheduled(
     goes on with those that came later as a new run, and finds the others in the ledger.
     ``files_per_trigger`` bounds what a trigger notes, ``landing.files_per_wave`` a load."""
     scope = "stream-" + sha256(checkpoint.encode()).hexdigest()[:16]
+    landing = landing.one_path()
     run, broken = open_run(warehouse, landing, scope, clock())
     while broken:
         load_rest(warehouse, landing, run, broken, clock(), options, Loaded())
         close_run(warehouse, scope, run)
         run, broken = open_run(warehouse, landing, scope, clock())
+    found = warehouse.spark.read.schema(LISTED).parquet(f"{warehouse.root}/_runs/{run}/found")
+    list_arrivals(warehouse.spark, checkpoint, found, files_per_trigger)
     note, load = note_micro_batch(warehouse, landing, options, clock, run)
     query = (
-        landing.stream_files(warehouse.spark, files_per_trigger)
+        arrivals(warehouse.spark, checkpoint)
         .writeStream.foreachBatch(note)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
