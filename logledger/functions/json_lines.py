@@ -47,11 +47,15 @@ def _text(key: str) -> str:
 # neither begins a text nor is a plain number or word. A text that holds such things counts as well.
 # The first three tests look at bytes; in one pattern with the last they take ten times as long.
 _VALUE = r""""\s*+:\s*+(?!"|(?:0|-?[1-9][0-9]{0,16}|true|false|null)\s*+[,}])"""
-_NOT_PLAIN = f"""(contains(data, '[') OR contains(data, ']') OR contains(substr(data, 2), '{{')
+_NOT_PLAIN = f"""(octet_length(data) > 10000000 OR contains(data, '[') OR contains(data, ']') OR contains(substr(data, 2), '{{')
   OR data RLIKE r'{_VALUE}')"""
 _VARIANTS = f"""transform({_whole("variant")}, r -> IF(r IS NULL, NULL,
   named_struct({", ".join(_text(k) for k in RAW_KEYS)}, '__end', CAST(NULL AS STRING))))"""
-_RECORD = f"IF({_NOT_PLAIN}, {_VARIANTS}, {_whole('string')})"
+# Plain lines without the marks of a whole value are read by one cast, not field by field.
+_PLAIN_SHAPE = "array<struct<%s, __end string>>" % ", ".join(f"{k} string" for k in RAW_KEYS)
+_PLAIN = f"""transform(array(try_variant_get(try_parse_json(concat('[', data, ',{{"__end":"1"}}]')), '$',
+  '{_PLAIN_SHAPE}')), a -> IF(size(a) = 2 AND a[1].__end = '1', a[0], NULL))"""
+_RECORD = f"IF({_NOT_PLAIN}, {_VARIANTS}, {_PLAIN})"
 _OBJECT_START = r"data RLIKE '^\\s*\\{'"
 
 
