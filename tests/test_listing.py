@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 
+import pytest
 from conftest import NOW, name, record, rows
 
 from logledger.plans.ingest import ingest_batch
@@ -32,6 +33,19 @@ def test_workers_list_what_spark_lists(spark, folder, monkeypatch):
     assert found == rows(folder.landing.files(spark)) and len(found) == 2 * len(ODD) + 1
 
 
+@pytest.mark.parametrize("form", ["%s", "file:%s", "file://%s", "%s/", "file://%s/logs/.."])
+def test_a_file_has_one_name(spark, warehouse, folder, monkeypatch, form):
+    """However the landing is named, its files are called in the ledger what lines call them."""
+    folder.put("a b.json", [record(1), record(2)])
+    landing = Landing((form % folder.path.parent,))
+    ingest_batch(warehouse, landing, NOW)
+    assert rows(warehouse.read("ledger"), "status", "rows_loaded") == [("SUCCESS", 2)]
+    found = rows(landing.files(spark))
+    monkeypatch.setattr(FileSystem, "mounted", lambda *_: None)
+    assert found == rows(landing.files(spark))
+    assert rows(warehouse.read("ledger"), "gcs_uri") == rows(warehouse.read("base"), "gcs_uri")[:1]
+
+
 def test_a_load_reads_some_files_at_a_time(spark, warehouse, folder, monkeypatch):
     """One load, whatever the number of files; of its files no more than PART are in a plan."""
     monkeypatch.setattr(landing_module, "PART", 4)
